@@ -45,6 +45,11 @@ def top2_architectures(spark, sf_dir):
     return gates.top_architectures(run_metrics_table(spark, sf_dir))
 
 
+def _metrics(spark, sf_dir):
+    """The metric table (one row per run and metric) computed once for all its readers."""
+    return cut_lineage(run_metrics_table(spark, sf_dir))
+
+
 def _run(metrics, run_id):
     return metrics.filter(F.col("run_id") == run_id).select("metric", "value")
 
@@ -59,7 +64,7 @@ _CHANGES = f"""WITH {reg.RUN_METRICS}, sides AS (
     f"""{_CHANGES} SELECT metric, challenger, champion, {sql_r4("challenger - champion", "improvement", 6)} FROM sides"""
 )
 def metric_changes(spark, sf_dir):
-    metrics = run_metrics_table(spark, sf_dir)
+    metrics = _metrics(spark, sf_dir)
     changes = gates.metric_changes(_run(metrics, "click-2"), _run(metrics, "view-1"))
     return rounded(changes.select("metric", "challenger", "champion", "improvement"), "improvement", digits=6)
 
@@ -75,7 +80,7 @@ SELECT CASE WHEN n = 0 OR gain >= 0.005 - 1e-12 THEN 'PROMOTE' ELSE 'REJECT' END
 
 
 def _gate(spark, sf_dir, challenger, champion):
-    metrics = run_metrics_table(spark, sf_dir)
+    metrics = _metrics(spark, sf_dir)
     row = gates.champion_gate(_run(metrics, challenger), _run(metrics, champion))
     return rounded(row.select("decision", "primary_metric_value", "gain"), "gain", digits=6)
 
@@ -111,7 +116,7 @@ checks AS (
 SELECT *, bool_and(passed) OVER () AS all_passed FROM checks"""
 )
 def validation_gate(spark, sf_dir):
-    metrics = _run(run_metrics_table(spark, sf_dir), "click-2")
+    metrics = _run(_metrics(spark, sf_dir), "click-2")
     latency = latency_p99(fx.inference_log(spark, sf_dir))
     checks = gates.validation_gate(metrics, latency, _required(spark, sf_dir), fx.user_trades(spark, sf_dir))
     return checks.select("check", "passed", "all_passed")
@@ -194,7 +199,7 @@ def ab_chi2(spark, sf_dir):
 SELECT *, CASE WHEN challenger > champion THEN 'PROMOTE' ELSE 'ROLLBACK' END AS decision FROM s"""
 )
 def swap_decision(spark, sf_dir):
-    return gates.swap_decision(run_metrics_table(spark, sf_dir), "view-1", "click-2")
+    return gates.swap_decision(_metrics(spark, sf_dir), "view-1", "click-2")
 
 
 _AUDIT = """audit AS (
@@ -228,7 +233,7 @@ r AS (SELECT concat_ws(',', CASE WHEN (SELECT bool_or(drifted) FROM report) THEN
 SELECT *, reasons <> '' AS has_reason, reasons <> '' AND cooldown_ok AND daily_limit_ok AS retrain FROM r"""
 )
 def retrain_decision(spark, sf_dir):
-    metrics = cut_lineage(run_metrics_table(spark, sf_dir))
+    metrics = _metrics(spark, sf_dir)
     audit = fx.retraining_log(spark, sf_dir)
     return mon.retrain_decision(
         _now(audit),
@@ -267,7 +272,7 @@ def deployment_events(spark, sf_dir):
 
 
 def gate_audit(spark, sf_dir, audit):
-    metrics = run_metrics_table(spark, sf_dir)
+    metrics = _metrics(spark, sf_dir)
     gate = gates.champion_gate(_run(metrics, "click-2"), _run(metrics, "view-1"))
     return gate.select(
         F.lit(_now(audit)).alias("timestamp"),
