@@ -12,11 +12,13 @@ def upper_bound(sorted_array: Column, key: Column, max_size: int) -> Column:
     A binary search: log2(max_size) halving steps folded over a constant array, so no join
     multiplies rows and no Python runs. Keys may be structs, which compare field by field.
     """
-    steps = [1 << bit for bit in range(max(1, max_size.bit_length()) - 1, -1, -1)]
+    steps = [1 << bit for bit in range(max(1, max_size).bit_length() - 1, -1, -1)]
 
-    def advance(found: Column, step: Column) -> Column:
-        probe = found + step
-        fits = (probe <= F.size(sorted_array)) & (F.get(sorted_array, probe - 1) <= key)
-        return F.when(fits, probe).otherwise(found)
+    # The key rides along in the accumulator, so its expression is evaluated once and not per step.
+    def advance(state: Column, step: Column) -> Column:
+        probe = state["found"] + step
+        fits = (probe <= F.size(sorted_array)) & (F.get(sorted_array, probe - 1) <= state["key"])
+        return F.struct(F.when(fits, probe).otherwise(state["found"]).alias("found"), state["key"].alias("key"))
 
-    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance)
+    start = F.struct(F.lit(0).alias("found"), key.alias("key"))
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), start, advance, lambda state: state["found"])

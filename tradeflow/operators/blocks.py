@@ -38,7 +38,7 @@ class Blocks:
     keys: tuple[str, ...]
     order: tuple[str, ...]
     cuts: DataFrame | None
-    max_blocks: int
+    most_cuts: int = 0
 
     @property
     def partition(self) -> list[str]:
@@ -69,7 +69,7 @@ def fit_blocks(
     sizes = per_key.agg(F.sum("_rows").alias("total"), F.max("_rows").alias("largest")).first()
     target = max(rows_per_block, -(-(sizes["total"] or 0) // max_blocks))
     if (sizes["largest"] or 0) <= target:
-        return Blocks(keys, order, None, max_blocks)
+        return Blocks(keys, order, None)
 
     per_block = min(SAMPLES_PER_BLOCK, target)
     # At most total/target <= max_blocks keys are larger than the target, hence the broadcast.
@@ -88,15 +88,17 @@ def fit_blocks(
         .groupBy(*keys)
         .agg(F.sort_array(F.collect_set("_cut")).alias("_cuts"))
     )
-    return Blocks(keys, order, cut_lineage(cuts), max_blocks)
+    cuts = cut_lineage(cuts)
+    most = cuts.agg(F.max(F.size("_cuts"))).first()[0]
+    return Blocks(keys, order, cuts, most) if most else Blocks(keys, order, None)
 
 
 def assign_blocks(df: DataFrame, blocks: Blocks) -> DataFrame:
     """Add the block number: how many cut points of the key are <= the row."""
     if blocks.cuts is None:
         return df.withColumn(BLOCK, F.lit(0))
-    # The sample holds about SAMPLES_PER_BLOCK rows per block, so cut arrays total ~max_blocks entries.
-    number = upper_bound(F.col("_cuts"), _struct(blocks.order), 2 * blocks.max_blocks)
+    # The sample holds about SAMPLES_PER_BLOCK rows per block, so all cut arrays total ~max_blocks entries.
+    number = upper_bound(F.col("_cuts"), _struct(blocks.order), blocks.most_cuts)
     return (
         df.join(F.broadcast(blocks.cuts), list(blocks.keys), "left")
         .withColumn(BLOCK, number)
@@ -152,27 +154,27 @@ def with_history(df: DataFrame, blocks: Blocks, rows: int) -> DataFrame:
     return placed.withColumn(HALO, F.lit(False)).unionByName(copies)
 
 
-def drop_history(df: DataFrame) -> DataFrame:
-    """Remove the copied rows and helper columns that ``with_history`` added."""
-    if HALO in df.columns:
-        df = df.filter(~F.col(HALO))
-    return df.drop(BLOCK, HALO)
+def preceding_totals(
+    df: DataFrame, blocks: Blocks, sums: dict[str, Column], group_sums: dict[str, Column] | None = None
+) -> DataFrame | None:
+    """Per block of a large key, each sum over all earlier blocks (None without large keys).
 
-
-def preceding_totals(df: DataFrame, blocks: Blocks, sums: dict[str, Column]) -> DataFrame | None:
-    """Per block of a large key, each sum taken over all earlier blocks (None without large keys).
-
-    ``df`` must carry block numbers. Partial aggregation leaves one row per block to shuffle.
+    ``group_sums`` are taken over all blocks of the key. ``df`` must carry block numbers. Partial
+    aggregation leaves one row per block to shuffle.
     """
     if blocks.cuts is None:
         return None
-    keys = list(blocks.keys)
-    before = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    keys, group_sums = list(blocks.keys), group_sums or {}
+    whole = Window.partitionBy(*keys)
+    before = whole.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     per_block = (
         df.join(F.broadcast(blocks.cuts.select(*keys)), keys, "left_semi")
         .groupBy(*keys, BLOCK)
-        .agg(*[total.alias(name) for name, total in sums.items()])
+        .agg(*[total.alias(name) for name, total in {**sums, **group_sums}.items()])
     )
     return per_block.select(
-        *keys, BLOCK, *[F.coalesce(F.sum(name).over(before), F.lit(0)).alias(name) for name in sums]
+        *keys,
+        BLOCK,
+        *[F.coalesce(F.sum(name).over(before), F.lit(0)).alias(name) for name in sums],
+        *[F.sum(name).over(whole).alias(name) for name in group_sums],
     )

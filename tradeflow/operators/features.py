@@ -6,12 +6,13 @@ Every feature reads a fixed number of earlier trades of the symbol, so the block
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeflow.functions.scalar import safe_div
-from tradeflow.operators.blocks import ROWS_PER_BLOCK, Blocks, drop_history, fit_blocks, with_history
+from tradeflow.operators.blocks import HALO, ROWS_PER_BLOCK, Blocks, fit_blocks, with_history
 from tradeflow.operators.ema import EMA_HISTORY, ema_columns
+from tradeflow.operators.timerange import time_range_features  # noqa: F401
 
 KEYS = ("symbol",)
 ORDER = ("timestamp", "trade_id")
@@ -96,6 +97,7 @@ def rolling_features(
         F.count(F.lit(1)).over(frame).alias("trade_intensity_1m"),
         *_macd_inputs(mode, blocks),
     )
+
     # Stage 2: row arithmetic, and the one derived series (price moves) that needs a frame again.
     prev = F.col("prev_price")
     move = price - F.coalesce(prev, price)
@@ -104,15 +106,8 @@ def rolling_features(
         _spread(F.col("_std_price"), F.col("avg_price_14")).alias("std_price_14"),
         _spread(F.col("_std_volume"), F.col("avg_volume_14")).alias("std_volume_14"),
         safe_div(F.col("_value_14"), F.col("_volume_14"), default=price).alias("vwap_14"),
-        F.greatest(move, F.lit(0.0)).alias("gain"),
-        F.greatest(-move, F.lit(0.0)).alias("loss"),
-    )
-    stage = stage.select(
-        "*",
-        F.avg("gain").over(frame).alias("avg_gain"),
-        F.avg("loss").over(frame).alias("avg_loss"),
-        (F.col("avg_price_14") - BAND_WIDTHS * F.col("std_price_14")).alias("lower_band"),
-        (F.col("avg_price_14") + BAND_WIDTHS * F.col("std_price_14")).alias("upper_band"),
+        F.avg(F.greatest(move, F.lit(0.0))).over(frame).alias("avg_gain"),
+        F.avg(F.greatest(-move, F.lit(0.0))).over(frame).alias("avg_loss"),
     )
 
     # The recursive averages sort runs of rows anew, so they come after every time-ordered frame.
@@ -120,22 +115,34 @@ def rolling_features(
         stage = ema_columns(stage, "price", {"fast_average": FAST, "slow_average": SLOW}, blocks)
 
     # Stage 3: the features themselves. NULL inputs (first trade of a symbol) give the neutral value.
+    level, std, vwap = F.col("avg_price_14"), F.col("std_price_14"), F.col("vwap_14")
+    lower, upper = level - BAND_WIDTHS * std, level + BAND_WIDTHS * std
     strength = F.col("avg_gain") / F.col("avg_loss")
-    vwap, lower, upper = F.col("vwap_14"), F.col("lower_band"), F.col("upper_band")
     zero = F.lit(0.0)
     features = {
         "price_change_pct": safe_div((price - prev) * 100, prev),
         "volume_zscore": safe_div(volume - F.col("avg_volume_14"), F.col("std_volume_14")),
-        "price_volatility_1h": F.coalesce(F.col("std_price_14"), zero),
+        "price_volatility_1h": std,
+        "trade_intensity_1m": F.col("trade_intensity_1m"),
         "vwap_deviation": safe_div((price - vwap) * 100, vwap),
         "rsi_14": F.when(F.col("avg_loss") > 0, 100 - 100 / (1 + strength)).otherwise(F.lit(flat)),
         "macd_signal": F.col("fast_average") - F.col("slow_average"),
         "bollinger_position": safe_div(price - lower, upper - lower, default=NEUTRAL_BOLLINGER),
-        "bid_ask_spread_pct": safe_div(F.coalesce(F.col("std_price_14"), zero) * 100, price),
+        "bid_ask_spread_pct": safe_div(std * 100, price),
     }
-    done = stage.select("*", *[expr.alias(name) for name, expr in features.items()])
-    scratch = ["_std_price", "_std_volume", "_volume_14", "_value_14"]
-    return drop_history(done).drop(*scratch).fillna(0.0, subset=FEATURES)
+    inputs = ["prev_price", "avg_price_14", "std_price_14", "avg_volume_14", "std_volume_14", "vwap_14"]
+    own = stage.filter(~F.col(HALO)) if blocks.cuts is not None else stage
+    return own.select(
+        *trades.columns,
+        *inputs,
+        lower.alias("lower_band"),
+        upper.alias("upper_band"),
+        *["avg_gain", "avg_loss", "fast_average", "slow_average"],
+        *[
+            (expr if name == "trade_intensity_1m" else F.coalesce(expr, zero)).alias(name)
+            for name, expr in features.items()
+        ],
+    )
 
 
 def _macd_inputs(mode: str, blocks: Blocks) -> list[Column]:
@@ -154,40 +161,6 @@ def gold_features(silver: DataFrame, mode: str = "sma", **options) -> DataFrame:
     return wide.select([c for c in GOLD_COLUMNS if c in wide.columns])
 
 
-def time_range_features(
-    trades: DataFrame, volatility_seconds: int = 3600, intensity_seconds: int = 60
-) -> DataFrame:
-    """Clock-based variants: price deviation over the last hour, trades over the last minute.
-
-    A clock frame can span any number of rows, so blocks cannot copy it row by row. Time is cut
-    into buckets as long as the longest frame instead; each bucket is joined by the rows of the
-    bucket before it, and buckets run in parallel.
-    """
-    longest = max(volatility_seconds, intensity_seconds)
-    micros = F.unix_micros("timestamp")
-    bucket = F.floor(micros / F.lit(longest * 1_000_000)).cast("bigint")
-    rows = trades.withColumn("_micros", micros).withColumn("_bucket", bucket)
-    spread_rows = rows.select(
-        "*",
-        F.explode(F.array(F.lit(0), F.lit(1))).alias("_shift"),
-    ).withColumn("_bucket", F.col("_bucket") + F.col("_shift"))
-    clock = Window.partitionBy("symbol", "_bucket").orderBy("_micros")
-
-    def last(seconds: int):
-        return clock.rangeBetween(-seconds * 1_000_000, 0)
-
-    std = F.stddev_samp("price").over(last(volatility_seconds))
-    return (
-        spread_rows.select(
-            "*",
-            F.coalesce(std, F.lit(0.0)).alias("volatility_1h"),
-            F.count(F.lit(1)).over(last(intensity_seconds)).alias("intensity_1m"),
-        )
-        .filter(F.col("_shift") == 0)
-        .drop("_micros", "_bucket", "_shift")
-    )
-
-
 # Limits of the anomaly rules.
 VOLUME_Z, PRICE_MOVE_PCT = 3.0, 2.0
 RSI_LOW, RSI_HIGH = 15, 85

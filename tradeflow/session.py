@@ -25,14 +25,15 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None, memory:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
+    """The folder every executor can reach: what ``spark.checkpoint.dir`` names.
 
-    Only a session without that setting (a local test) gets a fresh temporary folder.
+    Only a session without that setting and without a checkpoint folder (a local test) gets a fresh
+    temporary folder.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="tradeflow-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tradeflow-"))
+        folder = spark.sparkContext.getCheckpointDir()
     return folder
 
 
@@ -44,6 +45,7 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably, so later reads neither recompute it nor lose it with an executor."""
     spark = df.sparkSession
+    folder = shared_folder(spark)
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+        spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
