@@ -84,7 +84,7 @@ def test_earliest_copy_wins_and_plan_limits_before_shuffle(spark):
     df = raw(spark, rows + [("cold", "A", 9.0, 1.0, "2026-04-01 10:00:00", "US")])
     kept = enrich.latest_copy_free(df)
     assert {(r.trade_id, r.price) for r in kept.collect()} == {("hot", 1.0), ("cold", 9.0)}
-    plan = kept._jdf.queryExecution().executedPlan().toString()
+    plan = enrich.latest_copy_free(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
 
 
