@@ -19,14 +19,14 @@ from tradeflow.session import local_session
 HEADLINE = [
     "silver_enrich",
     "gold_features",
-    "gold_features_blocks",
     "gold_features_ema",
+    "gold_many_symbols",
     "gold_tied_times",
     "anomaly_rate",
     "asof_features",
     "stratified_split",
     "drift_report",
-    "pr_auc_blocks",
+    "pr_auc_lines",
     "inference_30m",
     "decode_ticks",
     "retrain_decision",

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradeflow.functions.search import upper_bound
+from tradeflow.functions.search import with_upper_bound
 from tradeflow.session import cut_lineage
 
 BLOCK = "_block"
@@ -98,12 +98,8 @@ def assign_blocks(df: DataFrame, blocks: Blocks) -> DataFrame:
     if blocks.cuts is None:
         return df.withColumn(BLOCK, F.lit(0))
     # The sample holds about SAMPLES_PER_BLOCK rows per block, so all cut arrays total ~max_blocks entries.
-    number = upper_bound(F.col("_cuts"), _struct(blocks.order), blocks.most_cuts)
-    return (
-        df.join(F.broadcast(blocks.cuts), list(blocks.keys), "left")
-        .withColumn(BLOCK, number)
-        .drop("_cuts")
-    )
+    joined = df.join(F.broadcast(blocks.cuts), list(blocks.keys), "left")
+    return with_upper_bound(joined, BLOCK, "_cuts", _struct(blocks.order), blocks.most_cuts).drop("_cuts")
 
 
 def with_history(df: DataFrame, blocks: Blocks, rows: int) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeflow.functions.scalar import report_round
-from tradeflow.functions.search import upper_bound
+from tradeflow.functions.search import with_upper_bound
 from tradeflow.operators.quantiles import DIRECT_LIMIT, exact_percentiles
 from tradeflow.session import cut_lineage
 
@@ -74,14 +74,14 @@ def psi(
     ).select("feature", F.array_distinct("percentiles").alias("edges"))
     edges = cut_lineage(edges)  # one row per feature
 
-    size = F.size("edges")
-    found = upper_bound(F.col("edges"), F.col("value"), bins + 1)
+    size, found = F.size("edges"), F.col("_found")
     is_top = F.col("value") == F.element_at("edges", -1)
     bin_of = F.when(is_top, size - 2).when((found == 0) | (found == size), F.lit(-1)).otherwise(found - 1)
-    counts = (
-        pairs.join(F.broadcast(edges), "feature")
-        .groupBy("feature", bin_of.alias("bin"))
-        .agg(F.count_if(_on("reference")).alias("r"), F.count_if(_on("current")).alias("c"))
+    placed = with_upper_bound(
+        pairs.join(F.broadcast(edges), "feature"), "_found", "edges", F.col("value"), bins + 1
+    )
+    counts = placed.groupBy("feature", bin_of.alias("bin")).agg(
+        F.count_if(_on("reference")).alias("r"), F.count_if(_on("current")).alias("c")
     )
     counts = cut_lineage(counts)  # features * (bins + 1) rows
     totals = counts.groupBy("feature").agg(F.sum("r").alias("n_r"), F.sum("c").alias("n_c"))

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradeflow.functions.search import upper_bound
+from tradeflow.functions.search import with_upper_bound
 from tradeflow.session import cut_lineage
 
 DIRECT_LIMIT = 1_000_000
@@ -67,11 +67,11 @@ def _values_at_ranks(
             )
         )
         # Odd cells hold exactly one value (an edge); even cells lie strictly between edges.
-        number = upper_bound(F.col("_edges"), F.col("_v"), CELLS + 1)
-        at_edge = F.get("_edges", number - 1) == F.col("_v")
-        celled = active.join(F.broadcast(edges), group).withColumn(
-            "cell", F.when(at_edge, 2 * number - 1).otherwise(2 * number)
-        )
+        found_in = active.join(F.broadcast(edges), group)
+        found_in = with_upper_bound(found_in, "_number", "_edges", F.col("_v"), CELLS + 1)
+        at_edge = F.get("_edges", F.col("_number") - 1) == F.col("_v")
+        cell = 2 * F.col("_number") - F.coalesce(at_edge.cast("int"), F.lit(0))
+        celled = found_in.withColumn("cell", cell)
         counts = celled.groupBy(*group, "cell").agg(
             F.count(F.lit(1)).alias("_rows"), F.min("_v").alias("_low"), F.max("_v").alias("_high")
         )

@@ -161,7 +161,7 @@ SELECT *, CASE WHEN control IS NULL OR treatment IS NULL THEN 'NEEDS_MORE_DATA'
                WHEN treatment > control THEN 'PROMOTE_TREATMENT' ELSE 'KEEP_CONTROL' END AS decision FROM s"""
 )
 def ab_decision(spark, sf_dir):
-    k = F.get_json_object("props", "$.k").cast("int")
+    k = fx.k_of_props()
     split = gates.assign_variant(fx.table(spark, sf_dir, "events"), "user_id")
     scored = split.select(
         "variant", ((k * 3 + F.col("event_id") % 41) % 100 / 100).alias("score"), (k >= 70).cast("int").alias("y")
@@ -187,7 +187,7 @@ FROM x"""
 )
 def ab_chi2(spark, sf_dir):
     split = gates.assign_variant(fx.table(spark, sf_dir, "events"), "user_id")
-    k = F.get_json_object("props", "$.k").cast("int")
+    k = fx.k_of_props()
     outcome = gates.ab_chi2(split.select("variant", (k >= 50).cast("int").alias("success")))
     return rounded(outcome, "control_rate", "treatment_rate", "chi2", digits=6)
 

@@ -137,7 +137,7 @@ SELECT {sql_r4("value", "prediction_psi", 8)}, 0.2::DOUBLE AS threshold, value >
 )
 def prediction_drift(spark, sf_dir):
     events = fx.table(spark, sf_dir, "events")
-    k = F.get_json_object("props", "$.k").cast("int")
+    k = fx.k_of_props()
     scored = events.select(
         F.col("ts").cast("timestamp").alias("timestamp"), ((k + F.col("event_id") % 10) / 110).alias("score")
     )

@@ -96,6 +96,17 @@ def time_range_features(spark, sf_dir):
     return rounded(wide.select("trade_id", "volatility_1h", "intensity_1m"), "volatility_1h")
 
 
+@query(
+    f"""WITH {reg.TRADES} SELECT trade_id,
+  {sql_r4("coalesce(stddev_samp(price) OVER (PARTITION BY symbol ORDER BY timestamp RANGE INTERVAL 1 HOUR PRECEDING), 0)", "volatility_1h")},
+  count(*) OVER (PARTITION BY symbol ORDER BY timestamp RANGE INTERVAL 1 MINUTE PRECEDING) AS intensity_1m
+FROM trades"""
+)
+def time_range_blocks(spark, sf_dir):
+    wide = ft.time_range_features(fx.trades(spark, sf_dir), rows_per_block=5)
+    return rounded(wide.select("trade_id", "volatility_1h", "intensity_1m"), "volatility_1h")
+
+
 @query(
     f"""WITH {reg.TRADES}, {reg.feature_steps("trades")}, {reg.LABELLED}
 SELECT trade_id, volume_price_surge, rsi_extreme, bollinger_break, is_anomaly FROM labelled"""

@@ -81,14 +81,22 @@ _SCORED_LINES = """scored AS (
   SELECT l_returnflag AS model, l_extendedprice AS score, CAST(l_discount > 0.05 AS INTEGER) AS y FROM lineitem)"""
 
 
+@query(f"WITH {_SCORED_LINES}, {_AP}")
+def pr_auc_lines(spark, sf_dir):
+    return rounded(mt.average_precision(_scored_lines(spark, sf_dir)), "pr_auc", digits=8)
+
+
 @query(f"WITH {_SCORED_LINES}, {_AP}")
 def pr_auc_blocks(spark, sf_dir):
-    lines = fx.table(spark, sf_dir, "lineitem").select(
+    return rounded(mt.average_precision(_scored_lines(spark, sf_dir), rows_per_block=4_000), "pr_auc", digits=8)
+
+
+def _scored_lines(spark, sf_dir):
+    return fx.table(spark, sf_dir, "lineitem").select(
         F.col("l_returnflag").alias("model"),
         F.col("l_extendedprice").alias("score"),
         (F.col("l_discount") > 0.05).cast("int").alias("y"),
     )
-    return rounded(mt.average_precision(lines, rows_per_block=4_000), "pr_auc", digits=8)
 
 
 @query(

@@ -10,8 +10,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("int")
+def k_of_props() -> Column:
+    """The ``k`` of the flat JSON text in ``props``; a pattern reads it far faster than a JSON parser."""
+    return F.regexp_extract("props", '"k":\\s*([0-9]+)', 1).try_cast("int")
 
 
 def _trade_columns() -> list[Column]:
@@ -19,7 +20,7 @@ def _trade_columns() -> list[Column]:
         F.col("event_id").cast("string").alias("trade_id"),
         F.upper("event_type").alias("symbol"),
         F.col("value").alias("price"),
-        (2 * _k() * _k()).cast("double").alias("volume"),
+        (2 * k_of_props() * k_of_props()).cast("double").alias("volume"),
         F.col("ts").cast("timestamp").alias("timestamp"),
         F.lit("US").alias("exchange"),
     ]
@@ -96,7 +97,7 @@ def bars(spark: SparkSession, sf_dir: str, interval: str = "1 hour") -> DataFram
 
 def log_from_events(events: DataFrame) -> DataFrame:
     return events.select(
-        F.when(_k() >= 50, "anomaly").otherwise("normal").alias("prediction"),
+        F.when(k_of_props() >= 50, "anomaly").otherwise("normal").alias("prediction"),
         F.col("ts").cast("timestamp").alias("timestamp"),
         F.col("event_type").alias("model_name"),
         F.col("value").alias("execution_duration_ms"),
@@ -126,8 +127,8 @@ def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(
         F.col("event_type").alias("model_type"),
         F.concat_ws("-", F.col("event_type"), run.cast("string")).alias("run_id"),
-        ((_k() * (run + 3) + F.col("event_id") % 41) % 100 / 100).alias("score"),
-        (_k() >= 70).cast("int").alias("y"),
+        ((k_of_props() * (run + 3) + F.col("event_id") % 41) % 100 / 100).alias("score"),
+        (k_of_props() >= 70).cast("int").alias("y"),
     )
 
 
