@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tradeflow.operators import features as ft
 from tradeflow.operators import labels as lb
-from tradeflow.operators.blocks import fit_blocks
+from tradeflow.operators.blocks import fit_blocks, row_numbers
 from tradeflow.operators.ema import history_for
 
 
@@ -78,6 +78,15 @@ def test_blocks_split_only_large_keys(spark):
     assert capped.most_cuts <= 12
 
 
+@pytest.mark.parametrize("keys", [["symbol"], []])
+def test_row_numbers_over_blocks(spark, keys):
+    pdf, df = skewed(spark, n=500)
+    got = row_numbers(df, keys, ["timestamp", "trade_id"], "n", rows_per_block=30).toPandas()
+    ordered = pdf.sort_values([*keys, "timestamp", "trade_id"])
+    want = (ordered.groupby(keys).cumcount() if keys else pd.Series(range(500), index=ordered.index)) + 1
+    assert dict(zip(got["trade_id"], got["n"])) == dict(zip(ordered["trade_id"], want))
+
+
 def test_one_shuffle_for_the_whole_block(spark):
     _, df = skewed(spark)
     plan = ft.rolling_features(df.repartition(2))._jdf.queryExecution().executedPlan().toString()

@@ -174,3 +174,25 @@ def preceding_totals(
         *[F.coalesce(F.sum(name).over(before), F.lit(0)).alias(name) for name in sums],
         *[F.sum(name).over(whole).alias(name) for name in group_sums],
     )
+
+
+def row_numbers(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, rows_per_block: int = ROWS_PER_BLOCK
+) -> DataFrame:
+    """Add ``name``: the 1-based position within the key (or within all rows, without keys).
+
+    Large keys are numbered block by block. ``df`` is read several times, so pass a stored table or
+    an aggregate that is cheap to compute again.
+    """
+    keys = list(keys)
+    if not keys:
+        numbered = row_numbers(df.withColumn("_all", F.lit(0)), ["_all"], order, name, rows_per_block)
+        return numbered.drop("_all")
+    blocks = fit_blocks(df, keys, order, rows_per_block)
+    placed = assign_blocks(df, blocks)
+    numbered = placed.withColumn(name, F.row_number().over(blocks.window()).cast("bigint"))
+    above = preceding_totals(placed, blocks, {"_above": F.count(F.lit(1))})
+    if above is not None:
+        numbered = numbered.join(F.broadcast(above), [*keys, BLOCK], "left")  # one row per block of a large key
+        numbered = numbered.withColumn(name, F.col(name) + F.coalesce("_above", F.lit(0)))
+    return numbered.select(*df.columns, name)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeflow.functions.scalar import hash_bucket, short_run_id
+from tradeflow.operators.blocks import row_numbers
 
 # Gate parameters.
 PRIMARY = "pr_auc"
@@ -27,9 +28,9 @@ TOLERANCE = 1e-12
 def tournament_rank(metrics: DataFrame, run: Sequence[str] = ("model_type",), primary: str = PRIMARY) -> DataFrame:
     """Runs by primary metric, best first; a run without it (a failed model) counts as 0."""
     value = F.coalesce(F.max(F.when(F.col("metric") == primary, F.col("value"))), F.lit(0.0))
-    scores = metrics.groupBy(*run).agg(value.alias(primary))
-    place = F.row_number().over(Window.orderBy(F.col(primary).desc(), *run))
-    return scores.withColumn("rank", place).withColumn("winner", F.col("rank") == 1)
+    scores = metrics.groupBy(*run).agg(value.alias(primary)).withColumn("_worse", -F.col(primary))
+    ranked = row_numbers(scores, [], ["_worse", *run], "rank").drop("_worse")
+    return ranked.withColumn("rank", F.col("rank").cast("int")).withColumn("winner", F.col("rank") == 1)
 
 
 def comparison_table(metrics: DataFrame, names: Sequence[str] = (PRIMARY, *SECONDARY)) -> DataFrame:
@@ -57,7 +58,7 @@ def top_architectures(
         .groupBy("model_type")
         .agg(F.max("value").alias("best"), F.min_by("run_id", F.struct(-F.col("value"), "run_id")).alias("run_id"))
     )
-    place = F.row_number().over(Window.orderBy(F.col("best").desc(), "run_id"))
+    place = F.row_number().over(Window.orderBy(F.col("best").desc(), "run_id"))  # at most best_runs rows
     chosen = best.withColumn("place", place).filter(F.col("place") <= keep).select("model_type", "place")
     spare = metrics.sparkSession.createDataFrame(
         [(name, i) for i, name in enumerate(fallback, 1)], "model_type string, place int"
@@ -200,7 +201,7 @@ def validation_gate(
     checks = rows[0]
     for row in rows[1:]:
         checks = checks.unionByName(row)
-    return checks.withColumn("all_passed", F.every("passed").over(Window.partitionBy()))
+    return checks.withColumn("all_passed", F.every("passed").over(Window.partitionBy()))  # four rows
 
 
 def assign_variant(df: DataFrame, key: str, treatment_pct: int = 20, salt: str = "ab") -> DataFrame:

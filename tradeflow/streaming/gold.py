@@ -21,6 +21,7 @@ from tradeflow.streaming.pipeline import start_batches
 
 _DONE = "_done"
 _KEEP_STATES = 2
+_PROGRESS = "late_rows long, horizon timestamp, newest timestamp"
 
 
 class GoldStream:
@@ -45,17 +46,16 @@ class GoldStream:
     def on_batch(self, batch: DataFrame, batch_id: int, final: bool = False) -> None:
         """Emit features of every trade that no on-time trade can precede any more."""
         spark = batch.sparkSession
-        state, horizon = self._state_before(spark, batch_id, batch)
+        state, horizon, newest = self._state_before(spark, batch_id, batch)
         batch.persist()
         try:
-            seen = batch.agg(F.max("timestamp").alias("newest")).first()["newest"]
-            pending_newest = state.filter(~F.col(_DONE)).agg(F.max("timestamp").alias("t")).first()["t"]
-            newest = max((t for t in (seen, pending_newest) if t is not None), default=None)
-            reach = newest if final else (newest - self.delay if newest else None)
+            is_late = F.lit(False) if horizon is None else F.col("timestamp") <= F.lit(horizon)
+            seen = batch.agg(F.max("timestamp").alias("newest"), F.count_if(is_late).alias("late_rows")).first()
+            newest = max((t for t in (seen["newest"], newest) if t is not None), default=None)
+            reach = newest if final or newest is None else newest - self.delay
             horizon_now = max((t for t in (reach, horizon) if t is not None), default=None)
 
-            on_time = batch if horizon is None else batch.filter(F.col("timestamp") > F.lit(horizon))
-            known = state.unionByName(on_time.withColumn(_DONE, F.lit(False)))
+            known = state.unionByName(batch.filter(~is_late).withColumn(_DONE, F.lit(False)))
             ready = F.lit(False) if horizon_now is None else F.col("timestamp") <= F.lit(horizon_now)
             closed = known.filter(F.col(_DONE) | ready)
 
@@ -71,11 +71,8 @@ class GoldStream:
             )
             waiting = known.filter(~F.col(_DONE) & ~ready)
             recent.unionByName(waiting).write.mode("overwrite").parquet(self._state(batch_id))
-            late = F.lit(False) if horizon is None else F.col("timestamp") <= F.lit(horizon)
-            progress = batch.agg(F.count_if(late).alias("late_rows"))
-            progress.select("late_rows", F.lit(horizon_now).cast("timestamp").alias("horizon")).write.mode(
-                "overwrite"
-            ).parquet(self._progress(batch_id))
+            row = [(seen["late_rows"], horizon_now, newest)]
+            spark.createDataFrame(row, _PROGRESS).coalesce(1).write.mode("overwrite").parquet(self._progress(batch_id))
         finally:
             batch.unpersist()
         self._forget(spark, batch_id - _KEEP_STATES)
@@ -106,10 +103,12 @@ class GoldStream:
         return f"{self.folder}/progress/batch={batch_id}"
 
     def _state_before(self, spark: SparkSession, batch_id: int, like: DataFrame):
+        """Carried trades, the time up to which features are out, and the newest time seen."""
         if batch_id == 0:
-            return like.withColumn(_DONE, F.lit(False)).limit(0), None
-        horizon = spark.read.parquet(self._progress(batch_id - 1)).first()["horizon"]
-        return spark.read.parquet(self._state(batch_id - 1)), horizon
+            return like.withColumn(_DONE, F.lit(False)).limit(0), None, None
+        before = spark.read.schema(_PROGRESS).parquet(self._progress(batch_id - 1)).first()
+        state = spark.read.schema(like.withColumn(_DONE, F.lit(False)).schema).parquet(self._state(batch_id - 1))
+        return state, before["horizon"], before["newest"]
 
     def _last_batch(self, spark: SparkSession) -> int | None:
         root = _path(spark, f"{self.folder}/progress")
