@@ -20,6 +20,7 @@ def average_precision(
     rows_per_block: int = ROWS_PER_BLOCK,
 ) -> DataFrame:
     """Area under the precision-recall steps: sum of (recall gained) * precision per distinct score.
+    A model without positives gets 0.
 
     Equal scores form one step. The running counts of a large model are taken block by block and
     start from the totals of the blocks above, so no model is sorted in a single task.

@@ -66,7 +66,8 @@ _AP = f"""steps AS (SELECT model, score, sum(y) AS hits, count(*) AS n FROM scor
 summed AS (
   SELECT *, sum(hits) OVER w AS tp, sum(n) OVER w AS seen FROM steps
   WINDOW w AS (PARTITION BY model ORDER BY score DESC))
-SELECT model, {sql_r4("sum(hits * tp / seen) / sum(hits)", "pr_auc", 8)} FROM summed GROUP BY model"""
+SELECT model, {sql_r4("CASE WHEN sum(hits) > 0 THEN sum(hits * tp / seen) / sum(hits) ELSE 0 END", "pr_auc", 8)}
+FROM summed GROUP BY model"""
 
 _SCORED_LABELS = """scored AS (
   SELECT lang AS model, (n_chars % 1000) / 1000.0::DOUBLE AS score, toxic AS y FROM labels JOIN documents USING (doc_id))"""

@@ -174,7 +174,9 @@ steps AS (SELECT model_type, run_id, score, sum(y) AS hits, count(*) AS n FROM s
 summed AS (
   SELECT *, sum(hits) OVER w AS tp, sum(n) OVER w AS seen FROM steps
   WINDOW w AS (PARTITION BY model_type, run_id ORDER BY score DESC)),
-area AS (SELECT model_type, run_id, sum(hits * tp / seen) / sum(hits) AS pr_auc FROM summed GROUP BY ALL),
+area AS (
+  SELECT model_type, run_id, CASE WHEN sum(hits) > 0 THEN sum(hits * tp / seen) / sum(hits) ELSE 0 END AS pr_auc
+  FROM summed GROUP BY ALL),
 counted AS (
   SELECT model_type, run_id, count(*) AS n,
          count(*) FILTER (WHERE y = 1 AND score >= 0.5) AS tp, count(*) FILTER (WHERE y = 0 AND score >= 0.5) AS fp,
