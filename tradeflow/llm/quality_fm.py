@@ -29,7 +29,8 @@ WORD_SLOTS, BINS = 1 << 15, 16
 RANK = 8
 #: Bound on labelled rows the classifier is fitted on, and on word entries of each of those rows.
 MAX_ROWS, MAX_WORDS = 8_000, 400
-EPOCHS, BATCH, RATE, DECAY = 12, 256, 0.08, 1e-4
+#: Small tables are gone through more often, until so many steps are done.
+EPOCHS, MIN_STEPS, BATCH, RATE, DECAY = 8, 400, 256, 0.1, 1e-5
 
 #: Upper ends of the bins are quantile-free: evenly spaced on a fixed scale for each statistic.
 STATISTICS = ("upper", "digit", "space", "symbol", "pipe", "bang", "distinct", "word_length", "long_words", "top_word", "repeat", "lines", "line_length", "ends", "size", "wide")
@@ -123,7 +124,8 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, seed: int = 7)
         machine.v[:] = 0
         return machine
     gw, gv, gb = np.full(N_SLOTS, 1e-2), np.full((N_SLOTS, RANK), 1e-2), 1e-2
-    for _ in range(EPOCHS):
+    epochs = max(EPOCHS, -(-MIN_STEPS // -(-len(y) // BATCH)))
+    for _ in range(epochs):
         order = rng.permutation(len(y))
         for at in range(0, len(y), BATCH):
             picked = order[at : at + BATCH]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeflow.llm import bpe, kneser_ney, multiset_hash, quality_fm
+from tradeflow.llm import arc_warc, bpe, kneser_ney, multiset_hash, quality_fm, secret_entropy
 from tradeflow.llm.text import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,19 @@ def op4_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiset_hash.edited_pairs(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every whole text: pattern matches and windows of high entropy."""
+    found = secret_entropy.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *[secret_entropy.count_kind("base", kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.size("added").cast("long").alias("n_entropy"),
+        F.sha2(secret_entropy.joined("base"), 256).alias("base_sha256"),
+        secret_entropy.joined(F.array_sort(F.concat("base", "added"))).alias("spans"),
+    )
+
+
 @query()
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every text by Kneser-Ney models of the rows outside the held-out fold."""
@@ -63,3 +76,10 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = kneser_ney.calibrate(kneser_ney.train(learn), learn)
     found = kneser_ney.identify(docs, model)
     return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "accepted")
+
+
+@query()
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page through ARC and WARC files and back."""
+    found = arc_warc.convert(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id")
