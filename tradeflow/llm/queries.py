@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeflow.llm import arc_warc, bpe, kneser_ney, multiset_hash, quality_fm, secret_entropy
+from tradeflow.llm import arc_warc, bpe, kneser_ney, multiset_hash, pii_crf, quality_fm, secret_entropy, templates
 from tradeflow.llm.text import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query()
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every whole text: base patterns and spans of the conditional random field."""
+    found = pii_crf.find(table(spark, sf_dir, "documents"), pii_crf.train())
+    order = F.array_sort(
+        F.transform(F.concat("base", "added"), lambda s: F.struct(s["start"].alias("start"), F.array_position(F.lit(list(pii_crf.KINDS)), s["kind"]).alias("place"), s["kind"].alias("kind"), s["end"].alias("end")))
+    )
+    return found.select(
+        "doc_id",
+        *[pii_crf.with_kind("base", kind).alias(f"n_{kind}") for kind in pii_crf.KINDS],
+        F.size("added").cast("long").alias("n_added"),
+        F.sha2(pii_crf.listed("base"), 256).alias("base_sha256"),
+        pii_crf.listed(order).alias("spans"),
+    )
+
+
 @query()
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every whole text and the bytes they decode to, as digests."""
@@ -83,3 +99,9 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page through ARC and WARC files and back."""
     found = arc_warc.convert(table(spark, sf_dir, "pages"))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id")
+
+
+@query()
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, word for word or with other names and numbers."""
+    return templates.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
