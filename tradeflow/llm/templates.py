@@ -35,36 +35,35 @@ UNITS = (
 def template_words(text: Column) -> Column:
     """Words of the canonical text; a placeholder word is ``MARK``, its type (a, n, u) and the value it stands for."""
     units = "|".join(sorted(UNITS, key=len, reverse=True))
-    text = F.coalesce(text, F.lit(""))
-    text = F.when(text.contains(MARK), F.replace(text, F.lit(MARK), F.lit(" "))).otherwise(text)
+    text = F.replace(F.coalesce(text, F.lit("")), F.lit(MARK), F.lit(" "))
     named = F.regexp_replace(text, r"(?<=\p{Ll} )(?=\p{Lu}\p{Ll})", f"{MARK}a")
     plain = F.regexp_replace(F.lower(named), r"[!-/:-@\[-`{-~]+", "")
     split_units = F.regexp_replace(plain, rf"(?<!\S)([0-9]+)({units})(?!\S)", "$1 $2")
     numbered = F.regexp_replace(split_units, r"(?<!\S)([0-9]+)(?!\S)", f"{MARK}n$1")
     valued = F.regexp_replace(numbered, rf"(?<={MARK}n[0-9]{{1,20}}\s)({units})(?!\S)", f"{MARK}u$1")
-    done = F.when(plain.rlike("[0-9]"), valued).otherwise(plain)
-    return F.filter(F.split(done, r"\s+"), lambda w: w != "")
+    done = F.when(text.rlike("[0-9]"), valued).otherwise(plain)
+    return F.split(F.btrim(done, F.lit(" \t\n\r\f\x0b")), r"\s+")  # one empty word if there is none
 
 
 def windows(rows: DataFrame, id_col: str, text_col: str, width: int, whole: bool = False) -> DataFrame:
-    """``id, n_words, place, hash, slots`` of the template windows; ``slots`` holds placeholder words, null without any.
+    """``id, n_words, place, hash, words`` of the template windows; ``words`` is a struct of the window's words.
 
-    ``whole`` keeps only texts of exactly ``width`` words.
+    ``whole`` keeps only texts of exactly ``width`` words. Windows are made by zipping the word array with itself,
+    so that hashing and joining run in compiled code and build no array for a window.
     """
     words = rows.select(rows[id_col].alias("id"), template_words(rows[text_col]).alias("words"))
-    words = words.filter(F.size("words") == width if whole else F.size("words") >= width)
-    marked = F.exists("words", lambda w: w.startswith(MARK))
-    shape = F.when(marked, F.transform("words", lambda w: F.when(w.startswith(MARK), F.substring(w, 1, 2)).otherwise(w))).otherwise(F.col("words"))
-    shaped = words.select("id", "words", shape.alias("shape"), marked.alias("marked"))
-    none = F.lit(None).cast("array<string>")
+    n = F.size("words")
+    # Shorter texts get no window this way; a filter would be moved below and compute the words twice.
+    count = F.when(n == width, 1).otherwise(0) if whole else F.greatest(n - (width - 1), F.lit(0))
+    zipped = F.arrays_zip(*[F.slice("words", k + 1, count).alias(f"w{k}") for k in range(width)])
+    found = words.select("id", n.alias("n_words"), F.posexplode(zipped).alias("place", "w"))
+    shape = [F.when(F.col(f"w.w{k}").startswith(MARK), F.substring(f"w.w{k}", 1, 2)).otherwise(F.col(f"w.w{k}")) for k in range(width)]
+    return found.select("id", "n_words", "place", F.xxhash64(*shape).alias("hash"), F.col("w").alias("words"))
 
-    def window(i: Column) -> Column:
-        slots = F.filter(F.slice("words", i, width), lambda w: w.startswith(MARK))
-        return F.struct(F.xxhash64(F.slice("shape", i, width)).alias("hash"), F.when(F.col("marked") & (F.size(slots) > 0), slots).otherwise(none).alias("slots"))
 
-    starts = F.sequence(F.lit(1), F.size("words") - (width - 1))
-    found = shaped.select("id", F.size("words").alias("n_words"), F.posexplode(F.transform(starts, window)).alias("place", "w"))
-    return found.select("id", "n_words", "place", "w.hash", "w.slots")
+def slot_values(words: str, width: int) -> Column:
+    """The placeholder words of a window, in order."""
+    return F.filter(F.array(*[F.col(f"{words}.w{k}") for k in range(width)]), lambda w: w.startswith(MARK))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, coverage: float = COVERAGE, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
@@ -72,18 +71,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, cove
 
     ``docs`` has ``doc_id, text``, ``benchmark`` ``item_id, text``.
     """
-    lengths = benchmark.select(F.size(template_words(benchmark["text"])).alias("n"))
+    words = template_words(benchmark["text"])
+    lengths = benchmark.select(F.when(words[0] != "", F.size(words)).otherwise(0).alias("n"))
     short = [r["n"] for r in lengths.filter((F.col("n") > 0) & (F.col("n") < width)).distinct().collect()]  # fewer than ``width`` values
     parts = []
     for size, whole in [(width, False), *((n, True) for n in sorted(short))]:
         items = windows(benchmark, "item_id", "text", size, whole).select(
-            F.col("id").alias("item_id"), (F.col("n_words") - (size - 1)).alias("n_windows"), F.col("place").alias("item_place"), F.col("hash").alias("item_hash"), F.col("slots").alias("item_slots")
+            F.col("id").alias("item_id"), (F.col("n_words") - (size - 1)).alias("n_windows"), F.col("place").alias("item_place"), F.col("hash").alias("item_hash"), slot_values("words", size).alias("item_slots")
         )
         if items.count() <= max_broadcast:
             items = F.broadcast(items)
         own = windows(docs, "doc_id", "text", size)
         hits = own.join(items, F.col("hash") == F.col("item_hash"))
-        parts.append(hits.select(F.col("id").alias("doc_id"), "item_id", "n_windows", "item_place", (F.col("place") - F.col("item_place")).alias("shift"), "slots", "item_slots"))
+        parts.append(hits.select(F.col("id").alias("doc_id"), "item_id", "n_windows", "item_place", (F.col("place") - F.col("item_place")).alias("shift"), slot_values("words", size).alias("slots"), "item_slots"))
     hits = reduce(DataFrame.unionByName, parts)
     # One exchange by document and item serves both aggregations; rows are hits only, not windows.
     dealt = hits.repartition("doc_id", "item_id")
