@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeflow.llm import arc_warc, bpe, kneser_ney, multiset_hash, pii_crf, quality_fm, secret_entropy, templates
+from tradeflow.llm import arc_warc, bpe, chosen_path, kneser_ney, multiset_hash, pii_crf, quality_fm, secret_entropy, templates
 from tradeflow.llm.text import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +71,35 @@ def op4_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiset_hash.edited_pairs(table(spark, sf_dir, "documents"))
 
 
+@query(
+    """WITH RECURSIVE worded AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words
+  FROM documents),
+shingled AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+         ELSE list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]) END) AS shingles
+  FROM worded),
+classes AS (
+  SELECT min(doc_id) AS rep, sorted FROM (SELECT doc_id, list_sort(shingles) AS sorted FROM shingled WHERE len(shingles) > 0) GROUP BY sorted),
+tokens AS (SELECT rep, len(sorted) AS n, unnest(sorted) AS s FROM classes),
+common AS (
+  SELECT a.rep AS a, b.rep AS b, a.n AS na, b.n AS nb, count(*) AS c
+  FROM tokens a JOIN tokens b ON a.s = b.s AND a.rep < b.rep GROUP BY ALL),
+links AS (SELECT a, b FROM common WHERE 100 * c >= 85 * (na + nb - c)),
+linked AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT rep AS a, rep AS b FROM classes UNION SELECT r.a, l.b FROM reach r JOIN linked l ON r.b = l.a),
+roots AS (SELECT a AS rep, min(b) AS root FROM reach GROUP BY a)
+SELECT s.doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles, coalesce(r.root, s.doc_id) AS component_id,
+       s.doc_id = coalesce(r.root, s.doc_id) AS kept
+FROM shingled s LEFT JOIN classes c ON c.sorted = list_sort(s.shingles) LEFT JOIN roots r USING (rep)"""
+)
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under links of similarity 0.85 over three-word shingles."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return chosen_path.near_duplicates(docs, width=3, percent=85)
+
+
 @query()
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every whole text: pattern matches and windows of high entropy."""
