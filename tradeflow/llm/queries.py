@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeflow.llm import arc_warc, bpe, chosen_path, kneser_ney, multiset_hash, pii_crf, quality_fm, secret_entropy, templates
+from tradeflow.llm import arc_warc, attention_lm, bpe, chosen_path, kneser_ney, multiset_hash, pii_crf, quality_fm, secret_entropy, templates
 from tradeflow.llm.text import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,6 +130,14 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id")
 
 
+@query()
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attention-model and unigram scores of every whole text, learnt from rows outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (remainder("doc_id", 7) != 2).alias("train"))
+    found = attention_lm.score_documents(docs, RANKS, PATTERN)
+    return found.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query()
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, word for word or with other names and numbers."""
