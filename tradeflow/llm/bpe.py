@@ -159,6 +159,16 @@ def decode_ids(encoded: DataFrame, rank_path: str, pattern: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInPandas(run, f"doc_id {kind}, bytes binary")
 
 
+def encode_and_verify(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, n_tokens, ids, round_trip``: ids of every whole text, and whether they decode to its bytes."""
+
+    def one(own: Codec, text: str) -> tuple:
+        ids = own.encode(text)
+        return (len(ids), np.array(ids, np.int32), own.decode(ids) == text.encode())
+
+    return _over_texts(docs, rank_path, pattern, one, "n_tokens long, ids array<int>, round_trip boolean", id_col, text_col)
+
+
 def token_digests(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256, n_bytes, round_trip`` of every text, encoded and decoded again."""
 

@@ -297,3 +297,18 @@ def near_duplicates(
     joined = some.select("doc_id", *same).join(classes, same).select("doc_id", "n_shingles", "component_id")
     alone = own.filter("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return joined.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def keep_one_of_each(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """``docs`` with one document of each component (that of the smallest id), and one row of each repeated id.
+
+    Rows with a null id stay.
+    """
+    found = stored(near_duplicates(docs, width, percent), "cp-classes")
+    gone = stored(found.filter("NOT kept").select("doc_id").distinct(), "cp-gone")
+    rest = by_ids(docs, gone, "left_anti")
+    repeated = stored(found.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "cp-repeated")
+    if repeated.isEmpty():
+        return rest
+    single = by_ids(rest, repeated, "left_semi").dropDuplicates(["doc_id"])
+    return by_ids(rest, repeated, "left_anti").unionByName(single)

@@ -15,6 +15,7 @@ is the share of label 1 (0.5 without rows). Repeated rows score alike; an empty
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeflow.llm.text import map_texts
+from tradeflow.llm.text import map_texts, slices
 
 #: Hashed word slots, and bins of each statistic.
 WORD_SLOTS, BINS = 1 << 15, 16
@@ -189,3 +190,19 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
         return pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "score": out})
 
     return map_texts(docs.select("doc_id", "text"), work, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double")
+
+
+def keep_good(docs: DataFrame, machine: Machine, threshold: float) -> DataFrame:
+    """The rows of ``docs`` whose text scores at least ``threshold``, unchanged and without a shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(machine)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for part in slices([batch]):
+                texts = part["text"].to_numpy()
+                good = np.empty(len(part), bool)
+                for at in range(0, len(texts), 200):
+                    good[at : at + 200] = _sigmoid(shared.value.margins(*pack([describe(t) for t in texts[at : at + 200]]))) >= threshold
+                yield batch.loc[part.index[good]]
+
+    return docs.mapInPandas(run, docs.schema)
