@@ -55,6 +55,7 @@ def windows(rows: DataFrame, id_col: str, text_col: str, width: int, whole: bool
     n = F.size("words")
     # Shorter texts get no window this way; a filter would be moved below and compute the words twice.
     count = F.when(n == width, 1).otherwise(0) if whole else F.greatest(n - (width - 1), F.lit(0))
+    count = F.when(F.col("words")[0] == "", 0).otherwise(count)
     zipped = F.arrays_zip(*[F.slice("words", k + 1, count).alias(f"w{k}") for k in range(width)])
     found = words.select("id", n.alias("n_words"), F.posexplode(zipped).alias("place", "w"))
     shape = [F.when(F.col(f"w.w{k}").startswith(MARK), F.substring(f"w.w{k}", 1, 2)).otherwise(F.col(f"w.w{k}")) for k in range(width)]
