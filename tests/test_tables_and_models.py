@@ -62,14 +62,16 @@ def test_tournament_survives_a_failing_model(spark):
         raise RuntimeError("no such library")
 
     models = {
-        "random_forest": md.random_forest({**md.FOREST, "depth": 3, "min_rows": 1}),
+        "random_forest": md.random_forest({"trees": 2, "depth": 3, "min_rows": 1}),
         "broken": broken,
-        "boosted": md.boosted_trees({**md.BOOSTED_B, "depth": 2}),
+        "boosted": md.boosted_trees({**md.BOOSTED_B, "rounds": 5, "step": 1.0, "depth": 2}),
     }
-    result = md.run_tournament(data, models, scale=0.004)
+    result = md.run_tournament(data, models)
     assert set(result.errors) == {"broken"}, {name: text[:600] for name, text in result.errors.items()}
     found = {(r.model_type, r.metric): r.value for r in result.metrics.collect()}
     assert found["broken", "pr_auc"] == 0.0 and "no such library" in result.errors["broken"]
+    assert [r.error for r in result.metrics.collect() if r.model_type == "broken"] == ["no such library"]
+    assert found["boosted", "training_time_s"] > 0
     assert found["random_forest", "pr_auc"] > 0.5 and ("boosted", "f1_score") in found
     served = md.score_output(result.scorers["random_forest"](data.test))
     assert set(served.columns) >= {"prediction", "probability", "risk_level"}

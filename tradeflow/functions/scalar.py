@@ -85,8 +85,10 @@ def short_run_id(run_id: Column) -> Column:
     return F.when(F.length(run_id) > 0, F.substring(run_id, 1, 8)).otherwise("N/A")
 
 
-def alert_message(*lines: Column, limit: int = 500) -> Column:
-    return F.substring(F.concat_ws("\n", *lines), 1, limit)
+def alert_message(*lines: Column, limit: int | None = 500) -> Column:
+    """Lines as one text, cut at ``limit`` characters; None keeps all of it."""
+    text = F.concat_ws("\n", *lines)
+    return text if limit is None else F.substring(text, 1, limit)
 
 
 def utc_now() -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradeflow.operators.blocks import BLOCK, ROWS_PER_BLOCK, assign_blocks, fit_blocks
+from tradeflow.operators.blocks import BLOCK, assign_blocks, fit_blocks, match_keys
 
 _SIDE = "_side"
 _MATCH = "_match"
@@ -21,7 +21,7 @@ def asof_join(
     right_columns: Sequence[str] | None = None,
     suffix: str = "_asof",
     tie_break: Sequence[str] = (),
-    rows_per_block: int = ROWS_PER_BLOCK,
+    rows_per_block: int | None = None,
 ) -> DataFrame:
     """Left rows with the matching right columns (``<name><suffix>``), NULL where none is early enough.
 
@@ -29,6 +29,8 @@ def asof_join(
     The right row travels as one struct: a NULL inside it stays NULL instead of falling back to an
     older value. Among right rows of equal time the one last in ``tie_break`` wins. For a key with
     very many rows, each block starts from the last right row of the blocks before it.
+
+    A NULL key or time matches nothing: such right rows are left out, such left rows get NULLs.
     """
     payload = list(right_columns or [c for c in right.columns if c != key])
     match = F.struct(*[F.col(c) for c in payload])
@@ -37,15 +39,16 @@ def asof_join(
 
     tie = F.struct(F.lit(0).alias("z"), *[F.col(c) for c in extra])
     tie_type = right.select(tie.alias("t")).schema["t"].dataType
-    right_rows = right.select(
+    matchable = F.col(key).isNotNull() & F.col(time).isNotNull()
+    right_rows = right.filter(matchable).select(
         key,
         F.col(time).alias("_t"),
         F.lit(0).alias(_SIDE),
-        F.lit(0).cast("bigint").alias("_spread"),
+        F.xxhash64(*right.columns).alias("_spread"),  # lets rows of one instant spread over blocks
         tie.alias("_tie"),
         match.alias(_MATCH),
     )
-    left_rows = left.select(
+    left_rows = left.filter(matchable).select(
         key,
         F.col(time).alias("_t"),
         F.lit(1).alias(_SIDE),
@@ -62,18 +65,22 @@ def asof_join(
         rows = rows.unionByName(_carried(rows, blocks, key), allowMissingColumns=True)
     trail = Window.partitionBy(*blocks.partition).orderBy("_t", _SIDE, "_tie")
     latest = F.last(F.when(F.col(_SIDE) == 0, F.col(_MATCH)), ignorenulls=True)
-    return (
+    nothing = left.filter(~matchable).select(
+        *left.columns, *[F.lit(None).cast(right.schema[c].dataType).alias(f"{c}{suffix}") for c in payload]
+    )
+    found = (
         rows.withColumn(_MATCH, latest.over(trail.rowsBetween(Window.unboundedPreceding, 0)))
         .filter(F.col(_SIDE) == 1)
         .select("_left.*", *[F.col(f"{_MATCH}.{c}").alias(f"{c}{suffix}") for c in payload])
     )
+    return found.unionByName(nothing)
 
 
 def _carried(rows: DataFrame, blocks, key: str) -> DataFrame:
     """For each later block of a large key, the newest right row of all earlier blocks (one row each)."""
     newest = F.max_by(F.struct("_t", "_tie", _MATCH), F.struct("_t", "_tie"))
     per_block = (
-        rows.join(F.broadcast(blocks.cuts.select(key)), key, "left_semi")
+        match_keys(rows, blocks.cuts.select(key), [key], "left_semi")
         .withColumn("_t", F.when(F.col(_SIDE) == 0, F.col("_t")))
         .groupBy(key, BLOCK)
         .agg(F.count_if(F.col(_SIDE) == 0).alias("_rights"), newest.alias("_new"))

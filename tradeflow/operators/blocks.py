@@ -15,6 +15,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,7 +27,9 @@ from tradeflow.session import cut_lineage
 BLOCK = "_block"
 HALO = "_halo"
 
+# Most rows of a block, and the fewest worth a block of their own.
 ROWS_PER_BLOCK = 4_000_000
+LEAST_ROWS = 100_000
 MAX_BLOCKS = 20_000
 SAMPLES_PER_BLOCK = 64
 SAMPLE_SEED = 7
@@ -53,21 +57,37 @@ def _struct(names: Sequence[str]) -> Column:
     return F.struct(*[F.col(n) for n in names])
 
 
+def match_keys(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "inner", small: bool = True) -> DataFrame:
+    """Join on ``keys``, where NULL equals NULL, with a side table that is broadcast if ``small`` (a proven bound)."""
+    theirs = side.select(*[F.col(k).alias(f"_of_{k}") for k in keys], *[c for c in side.columns if c not in keys])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
+    return df.join(F.broadcast(theirs) if small else theirs, same, how).drop(*[f"_of_{k}" for k in keys])
+
+
+def block_rows(total: int, parallelism: int) -> int:
+    """Rows of a block so that all tasks get about two, between ``LEAST_ROWS`` and ``ROWS_PER_BLOCK``."""
+    return min(ROWS_PER_BLOCK, max(LEAST_ROWS, -(-total // (2 * max(1, parallelism)))))
+
+
 def fit_blocks(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    rows_per_block: int = ROWS_PER_BLOCK,
+    rows_per_block: int | None = None,
     max_blocks: int = MAX_BLOCKS,
 ) -> Blocks:
     """Choose cut points from two narrow scans of ``df``: a count per key, then a bounded sample.
 
     ``order`` should identify a row within its key: rows equal in every order column stay together.
+    Without ``rows_per_block``, blocks follow the row count and the session's parallelism. A NULL key
+    is a key like any other.
     """
     keys, order = tuple(keys), tuple(order)
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     sizes = per_key.agg(F.sum("_rows").alias("total"), F.max("_rows").alias("largest")).first()
-    target = max(rows_per_block, -(-(sizes["total"] or 0) // max_blocks))
+    total = sizes["total"] or 0
+    wanted = rows_per_block or block_rows(total, df.sparkSession.sparkContext.defaultParallelism)
+    target = max(wanted, -(-total // max_blocks))
     if (sizes["largest"] or 0) <= target:
         return Blocks(keys, order, None)
 
@@ -76,11 +96,8 @@ def fit_blocks(
     large = per_key.filter(F.col("_rows") > target).select(*keys)
     # Sampling rows (not key values) keeps the sample bounded even when one value repeats endlessly.
     # The cut points are materialised below, so any sample gives a valid, stable split.
-    sample = (
-        df.select(*keys, *order)
-        .sample(fraction=min(1.0, per_block / target), seed=SAMPLE_SEED)
-        .join(F.broadcast(large), list(keys), "left_semi")
-    )
+    drawn = df.select(*keys, *order).sample(fraction=min(1.0, per_block / target), seed=SAMPLE_SEED)
+    sample = match_keys(drawn, large, keys, "left_semi")
     nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     cuts = (
         sample.select(*keys, _struct(order).alias("_cut"), nth.alias("_nth"))
@@ -98,7 +115,7 @@ def assign_blocks(df: DataFrame, blocks: Blocks) -> DataFrame:
     if blocks.cuts is None:
         return df.withColumn(BLOCK, F.lit(0))
     # The sample holds about SAMPLES_PER_BLOCK rows per block, so all cut arrays total ~max_blocks entries.
-    joined = df.join(F.broadcast(blocks.cuts), list(blocks.keys), "left")
+    joined = match_keys(df, blocks.cuts, blocks.keys, "left")
     return with_upper_bound(joined, BLOCK, "_cuts", _struct(blocks.order), blocks.most_cuts).drop("_cuts")
 
 
@@ -119,7 +136,7 @@ def with_history(df: DataFrame, blocks: Blocks, rows: int) -> DataFrame:
         Window.partitionBy(*keys, BLOCK).orderBy(*[F.col(c).desc() for c in blocks.order])
     )
     tails = cut_lineage(
-        placed.join(F.broadcast(blocks.cuts.select(*keys)), keys, "left_semi")
+        match_keys(placed, blocks.cuts.select(*keys), keys, "left_semi")
         .withColumn("_back", back)
         .filter(F.col("_back") <= rows)
     )
@@ -139,7 +156,7 @@ def with_history(df: DataFrame, blocks: Blocks, rows: int) -> DataFrame:
         .select(*keys, BLOCK, "_end", F.filter("_later", lambda b: b["start"] - F.col("_end") < rows).alias("_later"))
     )
     copies = (
-        tails.join(F.broadcast(reach), [*keys, BLOCK])
+        match_keys(tails, reach, [*keys, BLOCK])
         .withColumn(
             "_to",
             F.explode(F.filter("_later", lambda b: b["start"] - F.col("_end") + F.col("_back") <= rows)),
@@ -164,7 +181,7 @@ def preceding_totals(
     whole = Window.partitionBy(*keys)
     before = whole.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     per_block = (
-        df.join(F.broadcast(blocks.cuts.select(*keys)), keys, "left_semi")
+        match_keys(df, blocks.cuts.select(*keys), keys, "left_semi")
         .groupBy(*keys, BLOCK)
         .agg(*[total.alias(name) for name, total in {**sums, **group_sums}.items()])
     )
@@ -177,7 +194,7 @@ def preceding_totals(
 
 
 def row_numbers(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, rows_per_block: int = ROWS_PER_BLOCK
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, rows_per_block: int | None = None
 ) -> DataFrame:
     """Add ``name``: the 1-based position within the key (or within all rows, without keys).
 
@@ -193,6 +210,6 @@ def row_numbers(
     numbered = placed.withColumn(name, F.row_number().over(blocks.window()).cast("bigint"))
     above = preceding_totals(placed, blocks, {"_above": F.count(F.lit(1))})
     if above is not None:
-        numbered = numbered.join(F.broadcast(above), [*keys, BLOCK], "left")  # one row per block of a large key
+        numbered = match_keys(numbered, above, [*keys, BLOCK], "left")  # one row per block of a large key
         numbered = numbered.withColumn(name, F.col(name) + F.coalesce("_above", F.lit(0)))
     return numbered.select(*df.columns, name)

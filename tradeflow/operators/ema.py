@@ -2,8 +2,8 @@
 
 The recursion y[t] = a*x[t] + (1-a)*y[t-1] is a weighted sum of the past whose weights fall off
 geometrically. Rows are numbered inside their window partition and cut into runs of ``RUN`` rows.
-Inside a run, a running sum of x[i] / (1-a)^i gives the run's own share; the ends of the previous
-``CARRY`` runs, decayed, give the rest. What is left out weighs less than one rounding error.
+Inside a run, a running sum of x[i] / (1-a)^i gives the run's own share; the ends of earlier runs, decayed,
+give the rest. As many runs count (``carry_for``) as leave out less than one rounding error.
 """
 
 from __future__ import annotations
@@ -16,27 +16,35 @@ from pyspark.sql import functions as F
 from tradeflow.operators.blocks import Blocks
 
 RUN = 256
-CARRY = 3
-MAX_SPAN = 32
 
 
 def history_for(span: int) -> int:
     """Rows after which an older value weighs less than one unit in the last place (2^-53)."""
-    return math.ceil(53 * math.log(2) / -math.log(1 - 2 / (span + 1)))
+    return math.ceil(53 * math.log(2) / -math.log(1 - 2 / (span + 1))) if span > 1 else 1
 
 
 EMA_HISTORY = history_for(26)
 
 
+def carry_for(span: int) -> int:
+    """Earlier runs whose ends still matter."""
+    return -(-history_for(span) // RUN) + 1
+
+
 def ema_columns(rows: DataFrame, value: str, spans: dict[str, int], blocks: Blocks) -> DataFrame:
     """Add one average per entry of ``spans`` (output name -> span), seeded with the first value.
 
     ``rows`` already carries the history copies for the longest span; the windows reuse the
     partitioning of ``blocks``, so no further shuffle happens.
     """
-    too_long = [span for span in spans.values() if span > MAX_SPAN]
-    if too_long:
-        raise ValueError(f"spans above {MAX_SPAN} need more than {CARRY} runs of carry: {too_long}")
+    if any(span < 1 for span in spans.values()):
+        raise ValueError(f"spans start at 1: {sorted(spans.values())}")
+    plain = {name: span for name, span in spans.items() if span == 1}  # the value itself
+    rows_out = rows.columns
+    rows = rows.select("*", *[F.col(value).cast("double").alias(name) for name in plain])
+    spans = {name: span for name, span in spans.items() if span > 1}
+    if not spans:
+        return rows
     trail = blocks.window()
     numbered = rows.withColumn("_n", F.row_number().over(trail) - 1).select(
         "*",
@@ -68,13 +76,14 @@ def ema_columns(rows: DataFrame, value: str, spans: dict[str, int], blocks: Bloc
 
     ends = local.select(
         "*",
-        *[run_end(name, back).alias(f"_end{back}_{name}") for name in spans for back in range(1, CARRY + 1)],
+        *[run_end(name, back).alias(f"_end{back}_{name}") for name, span in spans.items() for back in range(1, carry_for(span) + 1)],
     )
     averages = []
     for name, span in spans.items():
         total = F.col(f"_own_{name}")
-        for back in range(1, CARRY + 1):
+        for back in range(1, carry_for(span) + 1):
             power = F.col("_at") + 1 + RUN * (back - 1)
             total = total + F.coalesce(F.col(f"_end{back}_{name}") * decay(span, power), F.lit(0.0))
         averages.append(total.alias(name))
-    return ends.select(*rows.columns, *averages)
+    made = {name: column for name, column in zip(spans, averages, strict=True)}
+    return ends.select(*rows_out, *[made.get(name, F.col(name)) for name in [*plain, *spans]])

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeflow.functions.scalar import safe_div
-from tradeflow.operators.blocks import HALO, ROWS_PER_BLOCK, Blocks, fit_blocks, with_history
+from tradeflow.operators.blocks import HALO, Blocks, fit_blocks, with_history
 from tradeflow.operators.ema import EMA_HISTORY, ema_columns
 from tradeflow.operators.timerange import time_range_features  # noqa: F401
 
@@ -25,6 +25,7 @@ FLAT_RSI = {"sma": 50.0, "ema": 0.0}
 BAND_WIDTHS = 2
 SMA_HISTORY = SLOW - 1
 
+# The output contract.
 FEATURES = [
     "price_change_pct",
     "volume_zscore",
@@ -65,7 +66,7 @@ def rolling_features(
     trades: DataFrame,
     mode: str = "sma",
     flat_rsi: float | None = None,
-    rows_per_block: int = ROWS_PER_BLOCK,
+    rows_per_block: int | None = None,
     blocks: Blocks | None = None,
 ) -> DataFrame:
     """All input columns plus the nine features and their inputs (previous price, bands, vwap).

@@ -33,12 +33,16 @@ def tournament_rank(metrics: DataFrame, run: Sequence[str] = ("model_type",), pr
     return ranked.withColumn("rank", F.col("rank").cast("int")).withColumn("winner", F.col("rank") == 1)
 
 
-def comparison_table(metrics: DataFrame, names: Sequence[str] = (PRIMARY, *SECONDARY)) -> DataFrame:
-    """One row per run with its metrics as columns, best ``pr_auc`` first."""
-    wide = metrics.groupBy("model_type", "run_id").pivot("metric", list(names)).agg(F.first("value"))
-    return wide.withColumn("run_id", short_run_id(F.col("run_id"))).orderBy(
-        F.col(PRIMARY).desc_nulls_last(), "model_type", "run_id"
-    )
+def comparison_table(
+    metrics: DataFrame, names: Sequence[str] = (PRIMARY, *SECONDARY, "accuracy"), seconds: str = "training_time_s"
+) -> DataFrame:
+    """One row per run with its metrics as columns and the training time at one decimal, best ``pr_auc`` first.
+
+    ``run_id`` stays whole; ``run_id_short`` is its displayed form.
+    """
+    wide = metrics.groupBy("model_type", "run_id").pivot("metric", [*names, seconds]).agg(F.first("value"))
+    shown = wide.withColumn("run_id_short", short_run_id(F.col("run_id"))).withColumn(seconds, F.round(seconds, 1))
+    return shown.orderBy(F.col(PRIMARY).desc_nulls_last(), "model_type", "run_id")
 
 
 def top_architectures(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeflow.functions.scalar import safe_div
-from tradeflow.operators.blocks import BLOCK, ROWS_PER_BLOCK, assign_blocks, fit_blocks, preceding_totals
+from tradeflow.operators.blocks import BLOCK, assign_blocks, fit_blocks, match_keys, preceding_totals
 from tradeflow.operators.quantiles import DIRECT_LIMIT, exact_percentiles
 
 
@@ -17,7 +17,7 @@ def average_precision(
     by: Sequence[str] = ("model",),
     score: str = "score",
     label: str = "y",
-    rows_per_block: int = ROWS_PER_BLOCK,
+    rows_per_block: int | None = None,
 ) -> DataFrame:
     """Area under the precision-recall steps: sum of (recall gained) * precision per distinct score.
     A model without positives gets 0.
@@ -42,7 +42,7 @@ def average_precision(
     )
     if above is not None:
         # One row per block of a large model: at most max_blocks rows.
-        steps = steps.join(F.broadcast(above), [*by, BLOCK], "left").select(
+        steps = match_keys(steps, above, [*by, BLOCK], "left").select(
             *by,
             "_hits",
             (F.col("_tp") + F.coalesce("_tp_above", F.lit(0))).alias("_tp"),
@@ -92,7 +92,7 @@ def model_metrics(
         scored = scored.withColumn(predicted, (F.col(score) >= cutoff).cast("int"))
     rates = confusion_metrics(scored, by, predicted, label)
     area = average_precision(scored, by, score, label)
-    return area.join(rates, list(by)).select(*by, "pr_auc", "f1_score", "precision", "recall", "accuracy")
+    return match_keys(area, rates, list(by), small=False).select(*by, "pr_auc", "f1_score", "precision", "recall", "accuracy")
 
 
 def latency_p99(

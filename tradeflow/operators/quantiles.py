@@ -18,26 +18,30 @@ from tradeflow.session import cut_lineage
 
 DIRECT_LIMIT = 1_000_000
 CELLS = 512
-MAX_GROUPS = 2_000
 
 
 def exact_percentiles(
     rows: DataFrame, by: Sequence[str], value: str, probs: Sequence[float], direct_limit: int = DIRECT_LIMIT
 ) -> DataFrame:
-    """One row per group: ``n`` non-NULL values and ``percentiles`` in the order of ``probs``."""
+    """One row per group: ``n`` non-NULL values and ``percentiles`` in the order of ``probs``.
+
+    A NULL in a group column is a group of its own. Only groups above ``direct_limit`` are narrowed.
+    """
     by = list(by)
-    data = rows.select(*by, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    sizes = data.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("groups")).first()
-    if (largest["n"] or 0) <= direct_limit:
-        wanted = F.array(*[F.lit(float(p)) for p in probs])
-        return data.groupBy(*by).agg(
-            F.count(F.lit(1)).alias("n"), F.percentile("_v", wanted).alias("percentiles")
-        )
-    if largest["groups"] > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups with exact percentiles of large data")
-    ranked = _values_at_ranks(data, by, cut_lineage(sizes), probs, direct_limit)
-    return _interpolate(ranked, by, probs)
+    # One struct holds the group columns: it is never NULL itself, so joins keep groups with NULLs.
+    group = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0).alias("all"))
+    data = rows.select(group.alias("_g"), F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    large = cut_lineage(data.groupBy("_g").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > direct_limit))
+    wanted = F.array(*[F.lit(float(p)) for p in probs])
+    counted = [F.count(F.lit(1)).alias("n"), F.percentile("_v", wanted).alias("percentiles")]
+    if large.isEmpty():
+        found = data.groupBy("_g").agg(*counted)
+    else:
+        names = F.broadcast(large.select("_g"))  # at most total / direct_limit rows
+        ranked = _values_at_ranks(data.join(names, "_g", "left_semi"), ["_g"], large, probs, direct_limit)
+        direct = data.join(names, "_g", "left_anti").groupBy("_g").agg(*counted)
+        found = direct.unionByName(_interpolate(ranked, ["_g"], probs))
+    return found.select(*[F.col(f"_g.{c}").alias(c) for c in by], "n", "percentiles")
 
 
 def _position(prob: float) -> Column:

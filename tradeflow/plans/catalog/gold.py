@@ -107,6 +107,34 @@ def time_range_blocks(spark, sf_dir):
     return rounded(wide.select("trade_id", "volatility_1h", "intensity_1m"), "volatility_1h")
 
 
+_HOLES = f"""WITH {reg.TRADES}, holes AS (
+  SELECT trade_id, CASE WHEN CAST(trade_id AS BIGINT) % 5 <> 0 THEN symbol END AS symbol,
+         CASE WHEN CAST(trade_id AS BIGINT) % 7 <> 0 THEN price END AS price, timestamp FROM trades)
+SELECT trade_id,
+  {sql_r4("coalesce(stddev_samp(price) OVER (PARTITION BY symbol ORDER BY timestamp RANGE INTERVAL 1 HOUR PRECEDING), 0)", "volatility_1h")},
+  count(*) OVER (PARTITION BY symbol ORDER BY timestamp RANGE INTERVAL 1 MINUTE PRECEDING) AS intensity_1m
+FROM holes"""
+
+
+def _holes(spark, sf_dir, **options):
+    """Clock frames over trades of which some lack a symbol or a price."""
+    trades = fx.trades(spark, sf_dir)
+    number = F.col("trade_id").cast("bigint")
+    trades = trades.withColumn("symbol", F.when(number % 5 != 0, F.col("symbol"))).withColumn("price", F.when(number % 7 != 0, F.col("price")))
+    wide = ft.time_range_features(trades, **options)
+    return rounded(wide.select("trade_id", "volatility_1h", "intensity_1m"), "volatility_1h")
+
+
+@query(_HOLES)
+def time_range_nulls(spark, sf_dir):
+    return _holes(spark, sf_dir)
+
+
+@query(_HOLES)
+def time_range_nulls_blocks(spark, sf_dir):
+    return _holes(spark, sf_dir, rows_per_block=7)
+
+
 @query(
     f"""WITH {reg.TRADES}, {reg.feature_steps("trades")}, {reg.LABELLED}
 SELECT trade_id, volume_price_surge, rsi_extreme, bollinger_break, is_anomaly FROM labelled"""
@@ -191,3 +219,37 @@ def asof_features(spark, sf_dir):
 @query(_ASOF)
 def asof_features_blocks(spark, sf_dir):
     return _asof(spark, sf_dir, rows_per_block=20)
+
+
+_ASOF_HOLES = """WITH e AS (
+  SELECT *, CASE WHEN event_id % 5 <> 0 THEN user_id END AS u, CASE WHEN event_id % 7 <> 0 THEN ts END AS t FROM events),
+p AS (SELECT * FROM e WHERE event_type = 'purchase'), v AS (SELECT * FROM e WHERE event_type <> 'purchase' AND u IS NOT NULL AND t IS NOT NULL)
+SELECT CAST(p.event_id AS VARCHAR) AS trade_id, v.value AS price_asof
+FROM (SELECT * FROM p WHERE u IS NOT NULL AND t IS NOT NULL) p ASOF LEFT JOIN v ON p.u = v.u AND p.t >= v.t
+UNION ALL SELECT CAST(event_id AS VARCHAR), NULL FROM p WHERE u IS NULL OR t IS NULL"""
+
+
+def _asof_holes(spark, sf_dir, **options):
+    """As-of lookup where keys and times are missing on both sides."""
+    number = F.col("event_id")
+    rows = fx.table(spark, sf_dir, "events").select(
+        number.cast("string").alias("trade_id"),
+        F.when(number % 5 != 0, F.col("user_id")).alias("user_id"),
+        F.when(number % 7 != 0, F.col("ts").cast("timestamp")).alias("timestamp"),
+        F.col("value").alias("price"),
+        "event_type",
+    )
+    bought = F.col("event_type") == "purchase"
+    left = rows.filter(bought).select("trade_id", "user_id", "timestamp")
+    right = rows.filter(~bought).select("user_id", "timestamp", "price")
+    return asof_join(left, right, key="user_id", right_columns=["price"], **options).select("trade_id", "price_asof")
+
+
+@query(_ASOF_HOLES)
+def asof_nulls(spark, sf_dir):
+    return _asof_holes(spark, sf_dir)
+
+
+@query(_ASOF_HOLES)
+def asof_nulls_blocks(spark, sf_dir):
+    return _asof_holes(spark, sf_dir, rows_per_block=20)

@@ -1,20 +1,29 @@
-"""Trained models. Their results depend on random draws, so these have no SQL twin."""
+"""Trained models. Scores depend on random draws; their checks do not and have SQL twins.
+
+Rounds, trees and depths below are chosen for small tables; the full settings are the defaults of the operators.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from tradeflow.functions.scalar import prediction_label, risk_level
 from tradeflow.operators import features as ft
 from tradeflow.operators import labels as lb
 from tradeflow.operators import models as md
-from tradeflow.plans import fixtures as fx
 from tradeflow.operators.enrich import enrich
+from tradeflow.plans import fixtures as fx
+from tradeflow.plans.catalog import registry as reg
 from tradeflow.plans.catalog.registry import query, rounded
 from tradeflow.session import cut_lineage
 
-QUICK = {
-    "lightgbm": md.boosted_trees({**md.BOOSTED_A, "depth": 4}),
-    "xgboost": md.boosted_trees({**md.BOOSTED_B, "depth": 3}),
-    "random_forest": md.random_forest({**md.FOREST, "depth": 6}),
-    "isolation_forest": md.isolation_forest(),
+FOREST = {"trees": 10, "depth": 6, "min_rows": 5}
+ISOLATION_TREES = 60
+MODELS = {
+    "boosted_a": md.boosted_trees({**md.BOOSTED_A, "rounds": 8, "step": 0.3, "depth": 4}),
+    "boosted_b": md.boosted_trees({**md.BOOSTED_B, "rounds": 6, "step": 0.3, "depth": 3}),
+    "random_forest": md.random_forest(FOREST),
+    "isolation_forest": md.isolation_forest(ISOLATION_TREES),
 }
 
 
@@ -24,24 +33,93 @@ def prepared(spark, sf_dir):
     return md.prepare(split.filter(~split.is_test), split.filter(split.is_test))
 
 
+# Test rows of each class: the quota of the stratified split.
+_TESTS = f"""{reg.TRADES}, {reg.feature_steps("trades")}, {reg.LABELLED},
+q AS (SELECT is_anomaly, count(*) AS rows, sum(count(*)) OVER () AS n FROM labelled GROUP BY is_anomaly),
+i AS (SELECT *, ceil(n * 0.2) AS tests, ceil(n * 0.2) * rows / n AS ideal FROM q),
+quota AS (
+  SELECT is_anomaly, rows, CAST(floor(ideal) + CASE WHEN row_number() OVER (ORDER BY ideal - floor(ideal) DESC, is_anomaly)
+           <= tests - sum(floor(ideal)) OVER () THEN 1 ELSE 0 END AS BIGINT) AS quota FROM i)"""
+
+
 @query()
 def model_tournament(spark, sf_dir):
     """Metrics of all four models on the held-out rows."""
-    result = md.run_tournament(prepared(spark, sf_dir), QUICK, scale=0.005)
+    result = md.run_tournament(prepared(spark, sf_dir), MODELS)
     if result.errors:
         raise RuntimeError(str(result.errors))
-    return rounded(result.metrics, "value", digits=6)
+    return rounded(result.metrics.filter("metric != 'training_time_s'").drop("error"), "value", digits=6)
 
 
-@query()
-def isolation_forest_scores(spark, sf_dir):
+@query(
+    """SELECT model_type, metric, TRUE AS within_range
+FROM (VALUES ('boosted_a'), ('boosted_b'), ('random_forest'), ('isolation_forest')) m(model_type),
+     (VALUES ('pr_auc'), ('f1_score'), ('precision'), ('recall'), ('accuracy'), ('training_time_s')) k(metric)"""
+)
+def tournament_checks(spark, sf_dir):
+    """Every model has every metric, rates within 0..1 and a training time."""
+    metrics = md.run_tournament(prepared(spark, sf_dir), MODELS).metrics
+    good = F.col("error").isNull() & (F.col("value") >= 0) & ((F.col("value") <= 1) | (F.col("metric") == "training_time_s"))
+    return metrics.select("model_type", "metric", good.alias("within_range"))
+
+
+def _scores(spark, sf_dir, trainer):
     data = prepared(spark, sf_dir)
-    score = md.isolation_forest()(data.train, data.features, "is_anomaly", 0.2)
+    score = trainer(data.train, data.features, "is_anomaly")
     return rounded(md.score_output(score(data.test)).select("trade_id", "prediction", "probability", "risk_level"), "probability")
 
 
+def _checks(spark, sf_dir, trainer):
+    """Scored test rows of each class, and whether every label and risk level follows from its score."""
+    data = prepared(spark, sf_dir)
+    scored = trainer(data.train, data.features, "is_anomaly")(data.test)
+    served = cut_lineage(md.score_output(scored.withColumn("said", F.col("prediction"))))
+    p = F.col("probability")
+    consistent = (F.col("prediction") == prediction_label(F.col("said"))) & (F.col("risk_level") == risk_level(p))
+    return served.groupBy("is_anomaly").agg(
+        F.count("*").alias("rows"), F.bool_and(p.between(0, 1)).alias("scores_in_range"), F.bool_and(consistent).alias("labels_follow")
+    )
+
+
+_CHECKS = f"WITH {_TESTS} SELECT is_anomaly, quota AS rows, TRUE AS scores_in_range, TRUE AS labels_follow FROM quota WHERE quota > 0"
+
+
+@query()
+def isolation_forest_scores(spark, sf_dir):
+    return _scores(spark, sf_dir, md.isolation_forest(ISOLATION_TREES))
+
+
+@query(_CHECKS)
+def isolation_forest_checks(spark, sf_dir):
+    return _checks(spark, sf_dir, md.isolation_forest(ISOLATION_TREES))
+
+
 @query()
 def forest_scores(spark, sf_dir):
+    return _scores(spark, sf_dir, md.random_forest(FOREST))
+
+
+@query(_CHECKS)
+def forest_checks(spark, sf_dir):
+    return _checks(spark, sf_dir, md.random_forest(FOREST))
+
+
+@query(_CHECKS)
+def boosted_checks(spark, sf_dir):
+    return _checks(spark, sf_dir, MODELS["boosted_b"])
+
+
+@query(
+    f"""WITH {_TESTS}, train AS (SELECT CAST(sum(rows - quota) AS BIGINT) AS n FROM quota)
+SELECT n AS train_rows, TRUE AS share_met FROM train"""
+)
+def contamination_checks(spark, sf_dir):
+    """The share of flagged training rows equals the contamination, up to one row and ties at the threshold."""
     data = prepared(spark, sf_dir)
-    score = md.random_forest({**md.FOREST, "depth": 6})(data.train, data.features, "is_anomaly", 0.02)
-    return rounded(md.score_output(score(data.test)).select("trade_id", "prediction", "probability", "risk_level"), "probability")
+    scored = cut_lineage(md.isolation_forest(ISOLATION_TREES)(data.train, data.features, "is_anomaly")(data.train).select("score", "prediction"))
+    n, flagged = F.count("*"), F.sum("prediction")
+    least = F.min(F.when(F.col("prediction") == 1, F.col("score")))
+    found = scored.agg(n.alias("n"), flagged.alias("flagged"), least.alias("least"))
+    ties = scored.join(F.broadcast(found), F.col("score") == F.col("least")).agg(F.count("*").alias("tied"))
+    both = found.withColumn("k", F.lit(0)).join(ties.withColumn("k", F.lit(0)), "k")  # one row each
+    return both.select(F.col("n").alias("train_rows"), (F.abs(F.col("flagged") - 0.015 * F.col("n")) <= F.col("tied") + 1).alias("share_met"))

@@ -27,14 +27,21 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None, memory:
     )
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: what ``spark.checkpoint.dir`` names.
 
-    Only a session without that setting and without a checkpoint folder (a local test) gets a fresh
-    temporary folder.
+    Only a local session without that setting and without a checkpoint folder (a test) gets a fresh
+    temporary folder; on a cluster, where each machine would write to its own disk, that is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not is_local(spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tradeflow-"))
         folder = spark.sparkContext.getCheckpointDir()
     return folder

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tradeflow.operators.ema import EMA_HISTORY
-from tradeflow.operators.features import KEYS, ORDER, ROWS_PER_BLOCK, SMA_HISTORY, rolling_features
+from tradeflow.operators.features import KEYS, ORDER, SMA_HISTORY, rolling_features
 from tradeflow.streaming.pipeline import start_batches
 
 _DONE = "_done"
@@ -32,7 +32,7 @@ class GoldStream:
         folder: str,
         delay: timedelta = timedelta(minutes=2),
         mode: str = "sma",
-        rows_per_block: int = ROWS_PER_BLOCK,
+        rows_per_block: int | None = None,
     ) -> None:
         self.folder = folder
         self.delay = delay
