@@ -83,7 +83,7 @@ def test_ranking_and_tables(spark):
     assert [r.model_type for r in ranked] == ["xgb", "rf", "lgbm", "dead"]
     assert [r.winner for r in ranked] == [True, False, False, False] and ranked[3].pr_auc == 0.0
     table = gates.comparison_table(metrics).collect()
-    assert [(r.model_type, r.run_id) for r in table][:2] == [("xgb", "run-xgb-"), ("rf", "N/A")]
+    assert [(r.model_type, r.run_id, r.run_id_short) for r in table][:2] == [("xgb", "run-xgb-22", "run-xgb-"), ("rf", None, "N/A")]
     top = gates.top_architectures(metrics.filter("run_id IS NOT NULL")).orderBy("place").collect()
     assert [r.model_type for r in top] == ["xgb", "lgbm"]
     spare = gates.top_architectures(metrics, known=["nothing"]).orderBy("place").collect()
