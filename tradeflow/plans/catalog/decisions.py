@@ -289,3 +289,53 @@ def gate_audit(spark, sf_dir, audit):
         r4("primary_metric_value", 6).alias("primary_metric_value"),
         "improvement",
     )
+
+
+@query(
+    f"""WITH {_DRIFTED}, r AS (SELECT CASE WHEN bool_or(drifted) THEN 'data_drift' ELSE '' END AS reasons FROM report)
+SELECT reasons, TRUE AS cooldown_ok, TRUE AS daily_limit_ok, reasons <> '' AS has_reason, reasons <> '' AS retrain FROM r"""
+)
+def retrain_on_drift(spark, sf_dir):
+    """The rule that looks at drift alone."""
+    as_of = _now(fx.retraining_log(spark, sf_dir))
+    return mon.retrain_decision(as_of, report=drift.drift_report(_drifted(spark, sf_dir), _NUM, _CAT))
+
+
+_FALLEN = f"""{reg.RUN_METRICS}, f AS (
+  SELECT c.metric, b.value - c.value AS fall FROM metrics c JOIN metrics b ON c.metric = b.metric
+  WHERE c.run_id = 'view-1' AND b.run_id = 'click-2' AND c.metric IN ('pr_auc', 'f1_score') AND b.value - c.value > 0.0001)"""
+
+
+@query(
+    f"""WITH {_FALLEN} SELECT (SELECT max(ts) FROM events) AS "timestamp", 'performance_alert' AS alert_type,
+       'Model performance degradation' || chr(10) || 'Metric: ' || metric || chr(10) || 'Drop: ' || printf('%.4f', fall) || chr(10)
+       || 'Threshold: 0.0001' AS message FROM f"""
+)
+def performance_alerts(spark, sf_dir):
+    """One alert for each metric that fell (with a small threshold, so that some do)."""
+    metrics, now = _metrics(spark, sf_dir), _now(fx.retraining_log(spark, sf_dir))
+    fallen = mon.degraded_metrics(_run(metrics, "view-1"), _run(metrics, "click-2"), 0.0001)
+    return mon.performance_alerts(fallen, F.lit(now), 0.0001).select("timestamp", "alert_type", "message")
+
+
+@query(
+    f"""WITH {_DRIFTED} SELECT 'retraining_trigger' AS alert_type,
+       'Retraining triggered' || chr(10) || 'Reason: data_drift' || chr(10) || 'Model: boosted_a' AS message,
+       '{{"reason":"data_drift","model_type":"boosted_a"}}' AS data FROM report HAVING bool_or(drifted)"""
+)
+def retraining_alerts(spark, sf_dir):
+    now = _now(fx.retraining_log(spark, sf_dir))
+    decision = mon.retrain_decision(now, report=drift.drift_report(_drifted(spark, sf_dir), _NUM, _CAT))
+    return mon.retraining_alerts(decision, F.lit(now), "boosted_a").select("alert_type", "message", "data")
+
+
+@query(
+    f"""WITH {reg.RUN_METRICS}, gate AS (
+  SELECT CASE WHEN max(value) FILTER (WHERE run_id = 'click-2') - max(value) FILTER (WHERE run_id = 'view-1') >= 0.005 - 1e-12
+         THEN 'PROMOTE' ELSE 'REJECT' END AS decision FROM metrics WHERE metric = 'pr_auc')
+SELECT (SELECT max(ts) FROM events) AS "timestamp", 'deployment' AS alert_type,
+       'Deployment decision: ' || decision || chr(10) || 'Model: click vclick-2' AS message FROM gate"""
+)
+def deployment_alerts(spark, sf_dir):
+    gate = gate_audit(spark, sf_dir, fx.retraining_log(spark, sf_dir))
+    return mon.deployment_alerts(gate).select("timestamp", "alert_type", "message")

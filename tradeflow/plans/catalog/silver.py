@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tradeflow.functions import scalar
@@ -12,7 +14,7 @@ from tradeflow.plans import fixtures as fx
 from tradeflow.plans.catalog import registry as reg
 from tradeflow.plans.catalog.registry import query, r4, rounded, sql_r4
 from tradeflow.schemas import REQUIRED_SILVER, require_columns
-from tradeflow.session import cut_lineage
+from tradeflow.session import cut_lineage, fresh_path
 
 SILVER = reg.silver()
 
@@ -156,3 +158,30 @@ def risk_scoring(spark, sf_dir):
         scalar.gauge_state(used).alias("gauge_state"),
         scalar.short_run_id(F.md5("trade_id")).alias("run"),
     )
+
+
+@query(
+    f"""WITH {reg.DIRTY} SELECT 'valid_volume' AS rule, count(*) FILTER (WHERE volume IS NULL OR volume < 0) AS warned, count(*) AS kept
+FROM dirty WHERE price > 0 AND symbol IS NOT NULL AND symbol <> ''"""
+)
+def warn_rule(spark, sf_dir):
+    """Rows that only draw a warning, counted while the kept rows are written."""
+    seen = Observation("silver")
+    kept = fresh_path(spark, "kept")
+    quality.enforce(fx.dirty_trades(spark, sf_dir), quality.silver_rules(), seen).write.parquet(kept)
+    rows = spark.read.parquet(kept).agg(F.count("*").alias("kept"))
+    return rows.select(F.lit("valid_volume").alias("rule"), F.lit(seen.get["valid_volume"]).cast("bigint").alias("warned"), "kept")
+
+
+@query("SELECT count(*) AS rows, TRUE AS stopped, 'valid_timestamp' AS rule FROM events")
+def fail_rule(spark, sf_dir):
+    """A row without a time stops the job, and the error names the rule."""
+    trades = fx.trades(spark, sf_dir)
+    broken = trades.withColumn("timestamp", F.when(F.col("trade_id").cast("bigint") % 100 != 0, F.col("timestamp")))
+    try:
+        quality.enforce(broken, quality.silver_rules()).write.format("noop").mode("overwrite").save()
+        error = ""
+    except PySparkException as found:
+        error = str(found)
+    named = F.lit("valid_timestamp" if "rule failed: valid_timestamp" in error else "")
+    return trades.agg(F.count("*").alias("rows")).select("rows", F.lit(bool(error)).alias("stopped"), named.alias("rule"))

@@ -135,3 +135,16 @@ def csv_source(spark, sf_dir):
     bars = fx.bars(spark, sf_dir).withColumn("interval", F.lit("1h"))
     sinks.export_csv(bars.withColumn("fetch_timestamp", F.col("timestamp")), folder)
     return readers.read_bars_csv(spark, folder).drop("_ingested_at", "fetch_timestamp")
+
+
+@query("SELECT count(*) AS rows, TRUE AS stamped_in_the_run, TRUE AS file_named FROM events")
+def ingest_metadata(spark, sf_dir):
+    """Arrival time and source file of rows read from JSON files."""
+    folder = fresh_path(spark, "arrivals")
+    fx.trades(spark, sf_dir).write.json(folder)
+    begun = F.lit(spark.range(1).select(F.current_timestamp()).first()[0])
+    rows = readers.read_trades_json(spark, folder)
+    within = F.col("_ingested_at").between(begun, begun + F.expr("INTERVAL 1 HOUR"))
+    return rows.agg(
+        F.count("*").alias("rows"), F.bool_and(within).alias("stamped_in_the_run"), F.bool_and(F.col("_source_file").contains("/arrivals-")).alias("file_named")
+    )

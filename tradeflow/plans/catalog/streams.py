@@ -24,6 +24,52 @@ def _events(spark, sf_dir):
     )
 
 
+FILES = 4
+#: Events of the first quarter that only arrive with the last file.
+LATE = "event_id % 40 = 1"
+
+
+def _events_in_files(spark, sf_dir, late: bool):
+    """The events as a stream of four files in time order, one for each micro-batch."""
+    events = fx.table(spark, sf_dir, "events")
+    ends = events.agg(F.min("ts").alias("low"), F.max("ts").alias("high"))
+    quarter = F.least(F.lit(FILES - 1), F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.col("_low")) * FILES / (F.col("_high") - F.col("_low"))))
+    edges = ends.select(F.unix_micros(F.col("low").cast("timestamp")).alias("_low"), F.unix_micros(F.col("high").cast("timestamp")).alias("_high")).first()
+    placed = events.withColumn("_low", F.lit(edges["_low"])).withColumn("_high", F.lit(edges["_high"])).withColumn("_file", quarter)
+    if late:
+        placed = placed.withColumn("_file", F.when((F.col("_file") == 0) & F.expr(LATE), FILES - 1).otherwise(F.col("_file")))
+    folder = fresh_path(spark, "events")
+    for k in range(FILES):
+        placed.filter(F.col("_file") == k).select(*events.columns).coalesce(1).write.parquet(f"{folder}/{k}")
+    return read_files(
+        spark, "parquet", folder, events.schema, stream=True, max_files_per_trigger=1, recursiveFileLookup="true"
+    )
+
+
+# Late events are older than the watermark by then, so they are dropped.
+_ON_TIME = f"""SELECT * FROM silver WHERE NOT (
+  CAST(trade_id AS BIGINT) % 40 = 1
+  AND least(3, floor((epoch_us("timestamp") - (SELECT epoch_us(min(ts)) FROM events)) * 4.0
+      / (SELECT epoch_us(max(ts)) - epoch_us(min(ts)) FROM events))) = 0)"""
+
+
+@query(f"WITH {SILVER} {_ON_TIME}")
+def stream_silver_batches(spark, sf_dir):
+    """Four micro-batches: keys are remembered across them, and late events are dropped."""
+    dirty = fx.dirty_from_events(_events_in_files(spark, sf_dir, late=True))
+    return pipeline.run_to_end(pipeline.silver_stream(dirty, stamp=False), fresh_path(spark, "silver"))
+
+
+@query(f"WITH {reg.TRADES}, {reg.feature_steps('trades')} SELECT trade_id, symbol, {reg.SQL_FEATURES} FROM features")
+def stream_gold_batches(spark, sf_dir):
+    """Four micro-batches: features at a batch's start need the history carried from the batch before."""
+    gold = GoldStream(fresh_path(spark, "gold"))
+    gold.start(fx.trades_from_events(_events_in_files(spark, sf_dir, late=False))).awaitTermination()
+    gold.flush(spark)
+    rows = gold.output(spark).select("trade_id", "symbol", *reg.FEATURE_COLUMNS, "trade_intensity_1m")
+    return rounded(rows, *reg.FEATURE_COLUMNS)
+
+
 @query(f"WITH {SILVER} SELECT * FROM silver")
 def stream_silver(spark, sf_dir):
     dirty = fx.dirty_from_events(_events(spark, sf_dir))

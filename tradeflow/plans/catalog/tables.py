@@ -95,3 +95,17 @@ def dashboard_extracts(spark, sf_dir):
         row = n.select(F.lit(name).alias("extract"), "rows")
         counts = row if counts is None else counts.unionByName(row)
     return counts
+
+
+@query(
+    """SELECT 'v7' AS model_version, 'scoring' AS endpoint, CAST(0 AS BIGINT) AS feature_version
+UNION ALL SELECT 'v8', 'scoring', 1 FROM (SELECT count(*) AS n FROM events) WHERE n > 0"""
+)
+def deployment_states(spark, sf_dir):
+    """Which feature version was live with which model, recorded after each of two writes."""
+    path = fresh_path(spark, "features")
+    trades = fx.trades(spark, sf_dir)
+    for model in ("v7", "v8"):
+        snapshots.write_version(trades, path)
+        snapshots.capture_state(spark, path, f"{path}-log", model, "scoring")
+    return snapshots.captured_states(spark, f"{path}-log").select("model_version", "endpoint", "feature_version")
