@@ -31,12 +31,14 @@ def exact_percentiles(
     # One struct holds the group columns: it is never NULL itself, so joins keep groups with NULLs.
     group = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0).alias("all"))
     data = rows.select(group.alias("_g"), F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    large = cut_lineage(data.groupBy("_g").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > direct_limit))
+    sizes = data.groupBy("_g").agg(F.count(F.lit(1)).alias("n"))
+    some_large = (sizes.agg(F.max("n")).first()[0] or 0) > direct_limit
     wanted = F.array(*[F.lit(float(p)) for p in probs])
     counted = [F.count(F.lit(1)).alias("n"), F.percentile("_v", wanted).alias("percentiles")]
-    if large.isEmpty():
+    if not some_large:
         found = data.groupBy("_g").agg(*counted)
     else:
+        large = cut_lineage(sizes.filter(F.col("n") > direct_limit))
         names = F.broadcast(large.select("_g"))  # at most total / direct_limit rows
         ranked = _values_at_ranks(data.join(names, "_g", "left_semi"), ["_g"], large, probs, direct_limit)
         direct = data.join(names, "_g", "left_anti").groupBy("_g").agg(*counted)

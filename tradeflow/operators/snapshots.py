@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradeflow.functions.scalar import utc_now
+from tradeflow.session import cut_lineage
 
 MANIFEST = T.StructType(
     [
@@ -75,7 +76,8 @@ def read_version(spark: SparkSession, path: str, version: int | None = None) ->
 
 
 def write_train_test(split: DataFrame, path: str) -> tuple[int, int]:
-    """Store the rows of a split (column ``is_test``) as a pair of versioned tables."""
+    """Store the rows of a split (column ``is_test``) as a pair of versioned tables, from one run of the split."""
+    split = cut_lineage(split)
     train = write_version(split.filter(~F.col("is_test")).drop("is_test"), f"{path}/train_set")
     test = write_version(split.filter(F.col("is_test")).drop("is_test"), f"{path}/test_set")
     return train, test

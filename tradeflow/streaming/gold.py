@@ -21,7 +21,8 @@ from tradeflow.streaming.pipeline import start_batches
 
 _DONE = "_done"
 _KEEP_STATES = 2
-_PROGRESS = "late_rows long, horizon timestamp, newest timestamp"
+# Instants are microseconds, which no time zone can shift.
+_PROGRESS = "late_rows long, horizon long, newest long"
 
 
 class GoldStream:
@@ -49,14 +50,15 @@ class GoldStream:
         state, horizon, newest = self._state_before(spark, batch_id, batch)
         batch.persist()
         try:
-            is_late = F.lit(False) if horizon is None else F.col("timestamp") <= F.lit(horizon)
-            seen = batch.agg(F.max("timestamp").alias("newest"), F.count_if(is_late).alias("late_rows")).first()
+            at = F.unix_micros("timestamp")
+            is_late = F.lit(False) if horizon is None else at <= F.lit(horizon)
+            seen = batch.agg(F.max(at).alias("newest"), F.count_if(is_late).alias("late_rows")).first()
             newest = max((t for t in (seen["newest"], newest) if t is not None), default=None)
-            reach = newest if final or newest is None else newest - self.delay
+            reach = newest if final or newest is None else newest - self.delay // timedelta(microseconds=1)
             horizon_now = max((t for t in (reach, horizon) if t is not None), default=None)
 
             known = state.unionByName(batch.filter(~is_late).withColumn(_DONE, F.lit(False)))
-            ready = F.lit(False) if horizon_now is None else F.col("timestamp") <= F.lit(horizon_now)
+            ready = F.lit(False) if horizon_now is None else at <= F.lit(horizon_now)
             closed = known.filter(F.col(_DONE) | ready)
 
             features = rolling_features(closed, mode=self.mode, rows_per_block=self.rows_per_block)
