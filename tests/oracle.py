@@ -21,7 +21,8 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def canonical(df: pd.DataFrame) -> pd.DataFrame:
+def canonical(df: pd.DataFrame, integers: frozenset = frozenset()) -> pd.DataFrame:
+    """Values as text; ``integers`` names columns that pandas turned into floats because they hold NULLs."""
     df = df[sorted(df.columns)].copy()
     for name in df.columns:
         column = df[name]
@@ -30,22 +31,25 @@ def canonical(df: pd.DataFrame) -> pd.DataFrame:
         elif column.dtype == object:
             df[name] = column.map(lambda v: None if v is None or v is pd.NaT or v is np.nan else str(v))
         elif column.dtype.kind == "f":
-            df[name] = column.map(lambda v: None if pd.isna(v) else repr(float(v)))
+            whole = name in integers
+            df[name] = column.map(lambda v: None if pd.isna(v) else str(int(v)) if whole else repr(float(v)))
         elif column.dtype.kind in "iub":
-            df[name] = column.map(lambda v: str(int(v)) if column.dtype.kind != "b" else str(bool(v)))
+            df[name] = [None if pd.isna(v) else str(bool(v)) if column.dtype.kind == "b" else str(int(v)) for v in column]
     df = df.astype(object).where(df.notna(), "NULL").astype(str)
     return df.sort_values(list(df.columns)).reset_index(drop=True)
 
 
 def compare(spark, con, plan, sql: str, sf_dir: str) -> tuple[bool, str, float]:
     started = time.monotonic()
-    mine = plan(spark, sf_dir).toPandas()
+    found = plan(spark, sf_dir)
+    integers = frozenset(c for c, kind in found.dtypes if kind in ("int", "bigint"))
+    mine = found.toPandas()
     seconds = time.monotonic() - started
     other = con.execute(sql).df()
     if sorted(mine.columns) != sorted(other.columns):
         return False, f"columns {sorted(mine.columns)} != {sorted(other.columns)}", seconds
     kinds = {c: (mine[c].dtype, other[c].dtype) for c in mine.columns if mine[c].dtype.kind != other[c].dtype.kind}
-    a, b = canonical(mine), canonical(other)
+    a, b = canonical(mine, integers), canonical(other, integers)
     if len(a) != len(b):
         return False, f"rows {len(a)} != {len(b)}", seconds
     if not a.equals(b):
