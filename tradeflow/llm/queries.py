@@ -100,7 +100,44 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.near_duplicates(docs, width=3, percent=85)
 
 
-@query()
+def _sql_spans(name: str, pattern: str, kind: str) -> str:
+    """Lists of matches and of the spans ``(start, place, end, kind)`` of a pattern without look-behind."""
+    place = secret_entropy.KINDS.index(kind)
+    quoted = pattern.replace("'", "''")
+    return f"""{name}_m AS (
+  SELECT doc_id, text, regexp_extract_all(text, '{quoted}') AS m, string_split_regex(text, '{quoted}') AS g FROM texts),
+{name} AS (
+  SELECT doc_id, list_transform(range(1, len(m) + 1), lambda i: {{'start': CAST(list_sum(list_transform(g[1:i], lambda x: length(x)))
+         + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS BIGINT), 'place': {place}, 'found': m[i], 'kind': '{kind}'}}) AS s
+  FROM {name}_m)"""
+
+
+def _secrets_sql() -> str:
+    """Patterns, then windows of candidate runs one after the other, as DuckDB SQL."""
+    window = secret_entropy.WINDOW
+    allowed = " OR ".join(f"regexp_matches(x.found, '{p}')" for p in secret_entropy.ALLOWED)
+    bits = " ".join(f"WHEN regexp_matches(x.found, '{p}') THEN {b}" for _, p, b in secret_entropy.CLASSES)
+    peak = f"list_max(list_transform(range(1, length(x.found) - {window - 2}), lambda k: list_aggregate(string_split(substr(x.found, k, {window}), ''), 'entropy')))"
+    parts = [_sql_spans("assign", secret_entropy.ASSIGN, "assign"), _sql_spans("access", secret_entropy.ACCESS, "access")]
+    parts += [_sql_spans("hexes", "[0-9a-f]{24,}", "hex"), _sql_spans("runs", "[A-Za-z0-9+/_=-]{20,}", "entropy")]
+    value = secret_entropy.ASSIGN.replace("'", "''")
+    joined = "array_to_string(list_transform({0}, lambda x: x.kind || ':' || x.start || ':' || (x.start + length(x.found))), ',')"
+    return f"""WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+{", ".join(parts)},
+base AS (
+  SELECT doc_id, list_sort(list_concat(list_concat(list_filter(assign.s, lambda x: length(regexp_extract(x.found, '^{value}$', 1)) >= {secret_entropy.ASSIGN_MIN}), access.s), hexes.s)) AS b
+  FROM assign JOIN access USING (doc_id) JOIN hexes USING (doc_id)),
+both AS (
+  SELECT doc_id, b, list_filter(runs.s, lambda x: regexp_matches(x.found, '[0-9]') AND NOT ({allowed}) AND {peak} >= CASE {bits} END
+         AND len(list_filter(b, lambda y: y.start < x.start + length(x.found) AND x.start < y.start + length(y.found))) = 0) AS e
+  FROM base JOIN runs USING (doc_id))
+SELECT doc_id, {", ".join(f"CAST(len(list_filter(b, lambda x: x.kind = '{k}')) AS BIGINT) AS n_{k}" for k in ("assign", "access", "hex"))},
+       CAST(len(e) AS BIGINT) AS n_entropy, sha256({joined.format("b")}) AS base_sha256,
+       {joined.format("list_sort(list_concat(b, e))")} AS spans
+FROM both""".replace("both AS", "all_spans AS").replace("FROM both", "FROM all_spans")
+
+
+@query(_secrets_sql())
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every whole text: pattern matches and windows of high entropy."""
     found = secret_entropy.scan(table(spark, sf_dir, "documents"))
@@ -123,11 +160,26 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "accepted")
 
 
-@query()
+@query(
+    """WITH hexed AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages),
+bits AS (
+  SELECT *, array_to_string(list_transform(string_split(h, ''), lambda c:
+         substr('0000000100100011010001010110011110001001101010111100110111101111', 4 * (instr('0123456789abcdef', c) - 1) + 1, 4)), '') AS b
+  FROM hexed),
+coded AS (
+  SELECT *, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1
+         + 16 * CAST(substr(b, 5 * i + 1, 1) AS INTEGER) + 8 * CAST(substr(b, 5 * i + 2, 1) AS INTEGER) + 4 * CAST(substr(b, 5 * i + 3, 1) AS INTEGER)
+         + 2 * CAST(substr(b, 5 * i + 4, 1) AS INTEGER) + CAST(substr(b, 5 * i + 5, 1) AS INTEGER) AS INTEGER), 1)), '') AS digest,
+         min(page_id) OVER (PARTITION BY body) AS first
+  FROM bits)
+SELECT page_id, CAST(octet_length(encode(body)) AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM coded"""
+)
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page through ARC and WARC files and back."""
     found = arc_warc.convert(table(spark, sf_dir, "pages"))
-    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id")
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 @query()
