@@ -22,6 +22,7 @@ HEADLINE = [
     "gold_features_ema",
     "gold_many_symbols",
     "gold_tied_times",
+    "time_range_features",
     "anomaly_rate",
     "asof_features",
     "stratified_split",
