@@ -85,3 +85,16 @@ def test_native_plan_and_empty_tables(spark, docs_of):
     assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().toString()) and df.count() == 1
     assert tp.contaminated(docs_of([]), items(spark, [QUESTION])).count() == 0
     assert tp.contaminated(docs_of([QUESTION]), items(spark, [])).count() == 0
+
+
+def test_names_wherever_they_stand_and_copies_in_other_case(spark, docs_of):
+    short = "Anna has 12 apples. Anna gives 5 to Ben"
+    long = "The boy (Tom) said that 3 Berlin trains\nLeave at noon,  Paris trains later. The boy waits for Anna and asks a guard who knows all the trains of both towns well"
+    docs = docs_of([
+        "Mia has 7 apples. Mia gives 3 to Tom", short.lower(), "so " + short.upper(), "Mia has 7 apples. Eva gives 3 to Tom",
+        long.lower(), " ".join(long.split()), long.replace("Tom", "Max").replace("Berlin", "London").replace("Paris", "Rome"),
+        long.replace("The boy waits for Anna", "This boy waits for Eva"), "One has 5 Km left of it", "mia has 7 apples. mia gives 3 to tom",
+    ])
+    got = pairs(tp.contaminated(docs, items(spark, [short, long, "Two has 7 km left of it"])))
+    assert set(got) == {(0, 0), (1, 0), (2, 0), (4, 1), (5, 1), (6, 1), (7, 1), (8, 2)}
+    assert [got[k].exact for k in ((0, 0), (1, 0), (2, 0), (4, 1), (5, 1), (6, 1))] == [False, True, True, True, True, False]

@@ -1,9 +1,11 @@
 """Benchmark decontamination by template canonicalisation, with DataFrame functions only.
 
-Names (capitalised words after a lower-case word), numbers and units become typed placeholders, punctuation and
-case go, and windows of ``WIDTH`` template words are hash-joined between documents and benchmark items. Along one
-alignment (document position minus item position) the slots of matching windows must be consistent: one slot
-value of the item always stands for one value in the document. Windows of inconsistent alignments don't count.
+Names (capitalised words), numbers and units become typed placeholders, punctuation and case go, and windows of
+``WIDTH`` template words are hash-joined between documents and benchmark items, each in three ``FORMS``: all
+capitalised words as placeholders, only those after a lower-case word, and no placeholders at all. Along one
+alignment (document position minus item position) the slots of one form's matching windows must be consistent: one
+slot value of the item always stands for one value in the document. Windows of inconsistent alignments don't count;
+a window is found if any form of it is.
 A document holds an item if at least ``COVERAGE`` of the item's windows are found; ``exact`` tells copies from
 re-parameterised versions.
 
@@ -23,6 +25,8 @@ WIDTH, COVERAGE = 5, 0.8
 #: Benchmark windows up to which their table is broadcast (about 100 bytes each); larger ones are joined by a shuffle.
 MAX_BROADCAST = 500_000
 MARK = "\u0001"
+#: Types of placeholders that each form of a window keeps; its other words are literal.
+FORMS = ("acnu", "anu", "")
 
 # Units after a number.
 UNITS = (
@@ -33,20 +37,24 @@ UNITS = (
 
 
 def template_words(text: Column) -> Column:
-    """Words of the canonical text; a placeholder word is ``MARK``, its type (a, n, u) and the value it stands for."""
+    """Words of the canonical text; a placeholder word is ``MARK``, its type and the value it stands for.
+
+    Types are a (capitalised after a lower-case word), c (capitalised elsewhere), n (number) and u (unit after a number).
+    """
     units = "|".join(sorted(UNITS, key=len, reverse=True))
     text = F.replace(F.coalesce(text, F.lit("")), F.lit(MARK), F.lit(" "))
     named = F.regexp_replace(text, r"(?<=\p{Ll} )(?=\p{Lu}\p{Ll})", f"{MARK}a")
+    named = F.regexp_replace(named, r"(?<!\S)(?=[\p{P}\p{S}]*\p{Lu}\p{Ll})", f"{MARK}c")
     plain = F.regexp_replace(F.lower(named), r"[!-/:-@\[-`{-~]+", "")
     split_units = F.regexp_replace(plain, rf"(?<!\S)([0-9]+)({units})(?!\S)", "$1 $2")
     numbered = F.regexp_replace(split_units, r"(?<!\S)([0-9]+)(?!\S)", f"{MARK}n$1")
-    valued = F.regexp_replace(numbered, rf"(?<={MARK}n[0-9]{{1,20}}\s)({units})(?!\S)", f"{MARK}u$1")
+    valued = F.regexp_replace(numbered, rf"(?<={MARK}n[0-9]{{1,20}}\s)(?:{MARK}c)?({units})(?!\S)", f"{MARK}u$1")
     done = F.when(text.rlike("[0-9]"), valued).otherwise(plain)
     return F.split(F.btrim(done, F.lit(" \t\n\r\f\x0b")), r"\s+")  # one empty word if there is none
 
 
 def windows(rows: DataFrame, id_col: str, text_col: str, width: int, whole: bool = False) -> DataFrame:
-    """``id, n_words, place, hash, words`` of the template windows; ``words`` is a struct of the window's words.
+    """``id, n_words, place, form, hash, words`` of the template windows; ``words`` is a struct of the window's words.
 
     ``whole`` keeps only texts of exactly ``width`` words. Windows are made by zipping the word array with itself,
     so that hashing and joining run in compiled code and build no array for a window.
@@ -58,13 +66,25 @@ def windows(rows: DataFrame, id_col: str, text_col: str, width: int, whole: bool
     count = F.when(F.col("words")[0] == "", 0).otherwise(count)
     zipped = F.arrays_zip(*[F.slice("words", k + 1, count).alias(f"w{k}") for k in range(width)])
     found = words.select("id", n.alias("n_words"), F.posexplode(zipped).alias("place", "w"))
-    shape = [F.when(F.col(f"w.w{k}").startswith(MARK), F.substring(f"w.w{k}", 1, 2)).otherwise(F.col(f"w.w{k}")) for k in range(width)]
-    return found.select("id", "n_words", "place", F.xxhash64(*shape).alias("hash"), F.col("w").alias("words"))
+    every = [F.col(f"w.w{k}") for k in range(width)]
+    hashes = F.array(*[F.struct(F.lit(form).alias("form"), F.xxhash64(F.lit(form), *[_shape(w, types) for w in every]).alias("hash")) for form, types in enumerate(FORMS)])
+    return found.select("id", "n_words", "place", "w", F.explode(hashes).alias("h")).select("id", "n_words", "place", "h.form", "h.hash", F.col("w").alias("words"))
+
+
+def _shape(word: Column, types: str) -> Column:
+    """What must be equal of a word: a placeholder's mark and type (names are of one type), or the literal word."""
+    literal = F.when(word.startswith(MARK), F.substring(word, 3, 2**31 - 1)).otherwise(word)
+    if not types:
+        return literal
+    kind = F.substring(word, 2, 1)
+    return F.when(word.startswith(MARK) & kind.isin(*types), F.concat(F.lit(MARK), F.translate(kind, "c", "a"))).otherwise(literal)
 
 
 def slot_values(words: str, width: int) -> Column:
-    """The placeholder words of a window, in order."""
-    return F.filter(F.array(*[F.col(f"{words}.w{k}") for k in range(width)]), lambda w: w.startswith(MARK))
+    """The placeholder words of a window that its form keeps, in order; names have one type."""
+    types = F.element_at(F.array(*map(F.lit, FORMS)), F.col("form") + 1)
+    kept = F.filter(F.array(*[F.col(f"{words}.w{k}") for k in range(width)]), lambda w: w.startswith(MARK) & F.contains(types, F.substring(w, 2, 1)))
+    return F.transform(kept, lambda w: F.regexp_replace(w, f"^{MARK}c", f"{MARK}a"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, coverage: float = COVERAGE, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
@@ -78,18 +98,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, cove
     parts = []
     for size, whole in [(width, False), *((n, True) for n in sorted(short))]:
         items = windows(benchmark, "item_id", "text", size, whole).select(
-            F.col("id").alias("item_id"), (F.col("n_words") - (size - 1)).alias("n_windows"), F.col("place").alias("item_place"), F.col("hash").alias("item_hash"), slot_values("words", size).alias("item_slots")
+            F.col("id").alias("item_id"), (F.col("n_words") - (size - 1)).alias("n_windows"), F.col("place").alias("item_place"), F.col("form").alias("item_form"), F.col("hash").alias("item_hash"), slot_values("words", size).alias("item_slots")
         )
         if items.count() <= max_broadcast:
             items = F.broadcast(items)
         own = windows(docs, "doc_id", "text", size)
-        hits = own.join(items, F.col("hash") == F.col("item_hash"))
-        parts.append(hits.select(F.col("id").alias("doc_id"), "item_id", "n_windows", "item_place", (F.col("place") - F.col("item_place")).alias("shift"), slot_values("words", size).alias("slots"), "item_slots"))
+        hits = own.join(items, (F.col("hash") == F.col("item_hash")) & (F.col("form") == F.col("item_form")))
+        parts.append(hits.select(F.col("id").alias("doc_id"), "item_id", "n_windows", "item_place", "form", (F.col("place") - F.col("item_place")).alias("shift"), slot_values("words", size).alias("slots"), "item_slots"))
     hits = reduce(DataFrame.unionByName, parts)
     # One exchange by document and item serves both aggregations; rows are hits only, not windows.
     dealt = hits.repartition("doc_id", "item_id")
     pairs = F.array_distinct(F.flatten(F.collect_list(F.arrays_zip(F.col("item_slots").alias("old"), F.col("slots").alias("new")))))
-    lines = dealt.groupBy("doc_id", "item_id", "n_windows", "shift").agg(F.collect_set("item_place").alias("places"), pairs.alias("pairs"))
+    lines = dealt.groupBy("doc_id", "item_id", "n_windows", "shift", "form").agg(F.collect_set("item_place").alias("places"), pairs.alias("pairs"))
     consistent = F.size(F.array_distinct(F.transform("pairs", lambda p: p["old"]))) == F.size("pairs")
     same = F.forall("pairs", lambda p: p["old"] == p["new"])
     judged = lines.filter(consistent).withColumn("same", same)
