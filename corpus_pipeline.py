@@ -34,10 +34,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that hold a benchmark item."""
-    found = templates.contaminated(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
-    leaked = chosen_path.stored(found.select("doc_id").distinct(), "leaked")
-    return chosen_path.by_ids(docs, leaked, "left_anti")
+    """Without the documents that hold a benchmark item; rows with a null id are told apart by their texts."""
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    key = F.when(F.col("doc_id").isNotNull(), F.concat(F.lit("i"), F.col("doc_id").cast("string"))).otherwise(F.concat(F.lit("t"), digest))
+    keyed = docs.withColumn("__key", key)
+    found = templates.contaminated(keyed.select(F.col("__key").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    leaked = chosen_path.stored(found.select(F.col("doc_id").alias("__key")).distinct(), "leaked")
+    return chosen_path.by_ids(keyed, leaked, "left_anti", "__key").drop("__key")
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

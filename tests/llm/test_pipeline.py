@@ -44,3 +44,13 @@ def test_registered_queries_and_absence_of_the_subpackage(monkeypatch):
     monkeypatch.setitem(sys.modules, "tradeflow.llm", None)
     less = entry.queries()
     assert "gold_features" in less and not any(x.startswith("op") or x == "pipeline" for x in less)
+
+
+def test_leaks_without_an_id_are_removed(spark, docs_of, tmp_path):
+    item = "one two three four five six seven eight nine ten eleven twelve"
+    spark.createDataFrame([(0, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    halves = ["one two three four five six seven eight", "x x x four five six seven eight nine ten eleven twelve"]
+    docs = docs_of([f"so {item}", *halves, None, "clean", f"it is {item}", item, "other"], ids=[None] * 5 + [5, 6, 7])
+    left = cp.decontaminate(spark, docs, str(tmp_path))
+    assert left.columns == docs.columns
+    assert {(r.doc_id, r.text) for r in left.collect()} == {(None, halves[0]), (None, halves[1]), (None, None), (None, "clean"), (7, "other")}
