@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeflow.llm import arc_warc, attention_lm, bpe, chosen_path, kneser_ney, multiset_hash, pii_crf, quality_fm, secret_entropy, templates
+from tradeflow.llm import arc_warc, attention_lm, bpe, chosen_path, kneser_ney, multiset_hash, periodic_runs, pii_crf, quality_fm, secret_entropy, templates
 from tradeflow.llm.text import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -194,3 +194,11 @@ def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, word for word or with other names and numbers."""
     return templates.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of at least four periods in the words of every whole text, and the texts without repetitions."""
+    docs = table(spark, sf_dir, "documents")
+    seed = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    return periodic_runs.digests(periodic_runs.find(docs, seed, periodic_runs.repeated_tail))
