@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeflow.llm import arc_warc, attention_lm, bpe, chosen_path, kneser_ney, multiset_hash, periodic_runs, pii_crf, quality_fm, secret_entropy, templates
+from tradeflow.llm import arc_warc, attention_lm, bpe, chosen_path, kneser_ney, multiset_hash, periodic_runs, pii_crf, product_codes, quality_fm, secret_entropy, strassen_negatives, templates, vectors
 from tradeflow.llm.text import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -202,3 +202,49 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     seed = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     return periodic_runs.digests(periodic_runs.find(docs, seed, periodic_runs.repeated_tail))
+
+
+@query(
+    """WITH RECURSIVE usable AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM usable UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+roots AS (SELECT a AS vec_id, min(b) AS root FROM reach GROUP BY a),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(c.n, 0) AS BIGINT) AS n_links, coalesce(r.root, e.vec_id) AS component_id, e.vec_id = coalesce(r.root, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN roots r USING (vec_id) LEFT JOIN counts c USING (vec_id)"""
+)
+def op12_vector_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors under a cosine of 0.98 within their label."""
+    return product_codes.near_duplicates(table(spark, sf_dir, "embeddings"), 0.98)
+
+
+@query(
+    """WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i])) AS BIGINT) AS score
+  FROM rows a JOIN rows b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+hard AS (
+  SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) AS rank,
+         other_id AS negative_id, positive_score, score AS negative_score
+  FROM positives p JOIN scores n ON n.anchor_id = p.anchor_id AND NOT n.same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM hard WHERE rank <= 3"""
+)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three hard negatives for each of the five best positives of every fiftieth row."""
+    rows = table(spark, sf_dir, "embeddings").filter(vectors.finite(F.col("embedding")))
+    label = F.when(F.pmod("vec_id", F.lit(7)) == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = rows.select("vec_id", label.alias("label"), F.transform("embedding", lambda x: F.floor(x.cast("double") * 256)).alias("vec"))
+    return strassen_negatives.mine(whole, F.pmod("vec_id", F.lit(50)) == 0)
