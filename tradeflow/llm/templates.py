@@ -1,32 +1,38 @@
 """Benchmark decontamination by template canonicalisation, with DataFrame functions only.
 
 Names (capitalised words), numbers and units become typed placeholders, punctuation and case go, and windows of
-``WIDTH`` template words are hash-joined between documents and benchmark items, each in three ``FORMS``: all
-capitalised words as placeholders, only those after a lower-case word, and no placeholders at all. Along one
-alignment (document position minus item position) the slots of one form's matching windows must be consistent: one
-slot value of the item always stands for one value in the document. Windows of inconsistent alignments don't count;
-a window is found if any form of it is.
-A document holds an item if at least ``COVERAGE`` of the item's windows are found; ``exact`` tells copies from
-re-parameterised versions.
+``WIDTH`` words are hash-joined between documents and benchmark items in up to three forms: word for word; with
+numbers, units and names after a lower-case word as placeholders; and with all capitalised words as placeholders. A
+form is only made where it differs from the one before it and leaves at least ``LITERALS`` literal words, so lists of
+numbers or names match by their own values only. A name is the same placeholder in either form, so one at the start of a
+sentence meets one inside.
+
+Along one alignment (document position minus item position) the slots of one form's matching windows (the
+later form of the two sides) must be consistent: one slot value of the item always stands for one value in the document. Inconsistent ones don't count.
+A document holds an item if at least ``COVERAGE`` of the item's windows are found around one alignment, at most ``DRIFT``
+words away from it (for small insertions); ``exact`` tells copies from re-parameterised versions.
+
+Every word is hashed once, and windows combine these numbers; words are looked at again only in windows that hit.
 
 Defined cases: null and empty texts have no windows; an item of fewer than ``WIDTH`` words is one window of its
-own width; an item without words is never found; repeated rows count as one document (equal ids, equal
-positions); items with equal texts are all found; null ids are grouped like any other id.
+own width; an item without words is never found; items with equal texts are all found; rows are judged one by one,
+also those that share an id or have a null id (equal texts give equal rows), and an id is reported with its best row;
+extra columns are left out; empty tables give empty tables.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WIDTH, COVERAGE = 5, 0.8
+WIDTH, COVERAGE, LITERALS, DRIFT = 5, 0.8, 2, 2
 #: Benchmark windows up to which their table is broadcast (about 100 bytes each); larger ones are joined by a shuffle.
 MAX_BROADCAST = 500_000
 MARK = "\u0001"
-#: Types of placeholders that each form of a window keeps; its other words are literal.
-FORMS = ("acnu", "anu", "")
+#: Types of placeholders as ``template_words`` writes them; their places here, from 1, are their codes.
+KINDS = "acnu"
+#: Codes of the placeholders that each form keeps; a form's other words are literal.
+FORMS = ((), (1, 3, 4), (1, 2, 3, 4))
 
 # Units after a number.
 UNITS = (
@@ -53,38 +59,50 @@ def template_words(text: Column) -> Column:
     return F.split(F.btrim(done, F.lit(" \t\n\r\f\x0b")), r"\s+")  # one empty word if there is none
 
 
-def windows(rows: DataFrame, id_col: str, text_col: str, width: int, whole: bool = False) -> DataFrame:
-    """``id, n_words, place, form, hash, words`` of the template windows; ``words`` is a struct of the window's words.
+def tagged_words(text: Column) -> Column:
+    """An array of ``word, kind, own``: the template word, its placeholder's code (0 for none) and a hash of the literal word."""
+    code = lambda w: F.when(w.startswith(MARK), F.instr(F.lit(KINDS), F.substring(w, 2, 1))).otherwise(0)
+    literal = lambda w: F.when(w.startswith(MARK), F.substring(w, 3, 2**31 - 1)).otherwise(w)
+    return F.transform(template_words(text), lambda w: F.struct(w.alias("word"), code(w).alias("kind"), F.xxhash64(literal(w)).alias("own")))
+
+
+def windows(rows: DataFrame, keys: list[str], text_col: str, sizes: list[int]) -> DataFrame:
+    """``keys, n_words, place, form, size, hash, words`` of all windows of ``sizes`` (ascending) words in their forms.
 
-    ``whole`` keeps only texts of exactly ``width`` words. Windows are made by zipping the word array with itself,
+    ``words`` is a struct of the tagged words from the place on. Windows are made by zipping the word array with itself,
     so that hashing and joining run in compiled code and build no array for a window.
     """
-    words = rows.select(rows[id_col].alias("id"), template_words(rows[text_col]).alias("words"))
-    n = F.size("words")
-    # Shorter texts get no window this way; a filter would be moved below and compute the words twice.
-    count = F.when(n == width, 1).otherwise(0) if whole else F.greatest(n - (width - 1), F.lit(0))
-    count = F.when(F.col("words")[0] == "", 0).otherwise(count)
+    width = max(sizes)  # the last one
+    words = rows.select(*keys, tagged_words(rows[text_col]).alias("words"))
+    n = F.when(F.col("words")[0]["word"] == "", 0).otherwise(F.size("words"))
+    count = F.greatest(n - (min(sizes) - 1), F.lit(0))
     zipped = F.arrays_zip(*[F.slice("words", k + 1, count).alias(f"w{k}") for k in range(width)])
-    found = words.select("id", n.alias("n_words"), F.posexplode(zipped).alias("place", "w"))
-    every = [F.col(f"w.w{k}") for k in range(width)]
-    hashes = F.array(*[F.struct(F.lit(form).alias("form"), F.xxhash64(F.lit(form), *[_shape(w, types) for w in every]).alias("hash")) for form, types in enumerate(FORMS)])
-    return found.select("id", "n_words", "place", "w", F.explode(hashes).alias("h")).select("id", "n_words", "place", "h.form", "h.hash", F.col("w").alias("words"))
-
-
-def _shape(word: Column, types: str) -> Column:
-    """What must be equal of a word: a placeholder's mark and type (names are of one type), or the literal word."""
-    literal = F.when(word.startswith(MARK), F.substring(word, 3, 2**31 - 1)).otherwise(word)
-    if not types:
-        return literal
-    kind = F.substring(word, 2, 1)
-    return F.when(word.startswith(MARK) & kind.isin(*types), F.concat(F.lit(MARK), F.translate(kind, "c", "a"))).otherwise(literal)
-
-
-def slot_values(words: str, width: int) -> Column:
+    found = words.select(*keys, n.alias("n_words"), F.posexplode(zipped).alias("place", "w"))
+    kind, own = ([F.col(f"w.w{k}")[name] for k in range(width)] for name in ("kind", "own"))
+    literal, marked = [], []
+    for size in sizes:
+        there = own[size - 1].isNotNull()
+        names = sum((F.when(k == 2, 1).otherwise(0) for k in kind[1:size]), F.when(kind[0] == 2, 1).otherwise(0))
+        slots = sum((F.when(k > 0, 1).otherwise(0) for k in kind[1:size]), F.when(kind[0] > 0, 1).otherwise(0))
+        differs = (F.lit(True), slots > names, names > 0)
+        left = (F.lit(size), size - slots + names, size - slots)
+        for form, codes in enumerate(FORMS):
+            # A name's code is 1 wherever it stands.
+            value = [F.when(k.isin(*codes), F.when(k == 2, 1).otherwise(k).cast("long")).otherwise(o) if codes else o for k, o in zip(kind[:size], own, strict=False)]
+            one = F.struct(F.lit(form).alias("form"), F.lit(size).alias("size"), F.xxhash64(F.lit(size), *value).alias("hash"))
+            wanted = there & differs[form] & (left[form] >= LITERALS if form else F.lit(True))
+            (marked if form else literal).append(F.when(wanted, one))
+    # ``slots`` is that of the longest windows, which hold all others.
+    forms = F.when(slots > 0, F.array(*literal, *marked)).otherwise(F.array(*literal))
+    every = found.select(*keys, "n_words", "place", "w", F.explode(forms).alias("h")).filter(F.col("h").isNotNull())
+    return every.select(*keys, "n_words", "place", "h.form", "h.size", "h.hash", F.col("w").alias("words"))
+
+
+def slot_values(width: int) -> Column:
     """The placeholder words of a window that its form keeps, in order; names have one type."""
-    types = F.element_at(F.array(*map(F.lit, FORMS)), F.col("form") + 1)
-    kept = F.filter(F.array(*[F.col(f"{words}.w{k}") for k in range(width)]), lambda w: w.startswith(MARK) & F.contains(types, F.substring(w, 2, 1)))
-    return F.transform(kept, lambda w: F.regexp_replace(w, f"^{MARK}c", f"{MARK}a"))
+    words = F.slice(F.array(*[F.col(f"words.w{k}") for k in range(width)]), F.lit(1), F.col("size"))
+    kept = F.filter(words, lambda w: (w["kind"] > 0) & ((F.col("form") == 2) | ((F.col("form") == 1) & (w["kind"] != 2))))
+    return F.transform(kept, lambda w: F.regexp_replace(w["word"], f"^{MARK}c", f"{MARK}a"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, coverage: float = COVERAGE, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
@@ -95,26 +113,28 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, cove
     words = template_words(benchmark["text"])
     lengths = benchmark.select(F.when(words[0] != "", F.size(words)).otherwise(0).alias("n"))
     short = [r["n"] for r in lengths.filter((F.col("n") > 0) & (F.col("n") < width)).distinct().collect()]  # fewer than ``width`` values
-    parts = []
-    for size, whole in [(width, False), *((n, True) for n in sorted(short))]:
-        items = windows(benchmark, "item_id", "text", size, whole).select(
-            F.col("id").alias("item_id"), (F.col("n_words") - (size - 1)).alias("n_windows"), F.col("place").alias("item_place"), F.col("form").alias("item_form"), F.col("hash").alias("item_hash"), slot_values("words", size).alias("item_slots")
-        )
-        if items.count() <= max_broadcast:
-            items = F.broadcast(items)
-        own = windows(docs, "doc_id", "text", size)
-        hits = own.join(items, (F.col("hash") == F.col("item_hash")) & (F.col("form") == F.col("item_form")))
-        parts.append(hits.select(F.col("id").alias("doc_id"), "item_id", "n_windows", "item_place", "form", (F.col("place") - F.col("item_place")).alias("shift"), slot_values("words", size).alias("slots"), "item_slots"))
-    hits = reduce(DataFrame.unionByName, parts)
-    # One exchange by document and item serves both aggregations; rows are hits only, not windows.
-    dealt = hits.repartition("doc_id", "item_id")
-    pairs = F.array_distinct(F.flatten(F.collect_list(F.arrays_zip(F.col("item_slots").alias("old"), F.col("slots").alias("new")))))
-    lines = dealt.groupBy("doc_id", "item_id", "n_windows", "shift", "form").agg(F.collect_set("item_place").alias("places"), pairs.alias("pairs"))
+    sizes = [*sorted(short), width]
+    own_size = F.col("size") == F.least("n_words", F.lit(width))
+    items = windows(benchmark.select("item_id", "text"), ["item_id"], "text", sizes).filter(own_size).select(
+        "item_id", (F.col("n_words") - F.col("size") + 1).alias("n_windows"), F.col("place").alias("item_place"), F.col("form").alias("item_form"), F.col("hash").alias("item_hash"), slot_values(width).alias("item_slots")
+    )
+    if items.count() <= max_broadcast:
+        items = F.broadcast(items)
+    # A row is told by its id and text.
+    told = docs.select("doc_id", F.xxhash64("text").alias("row"), "text")
+    hits = windows(told, ["doc_id", "row"], "text", sizes).join(items, F.col("hash") == F.col("item_hash"))
+    slim = hits.select("doc_id", "row", "item_id", "n_windows", "item_place", F.greatest("form", "item_form").alias("level"), (F.col("place") - F.col("item_place")).alias("shift"), slot_values(width).alias("slots"), "item_slots")
+    # One exchange by row and item serves all aggregations; rows are hits only, not windows.
+    pair = ["doc_id", "row", "item_id", "n_windows"]
+    slots = F.array_distinct(F.flatten(F.collect_list(F.arrays_zip(F.col("item_slots").alias("old"), F.col("slots").alias("new")))))
+    lines = slim.repartition("doc_id", "row", "item_id").groupBy(*pair, "shift", "level").agg(F.collect_set("item_place").alias("places"), slots.alias("pairs"))
     consistent = F.size(F.array_distinct(F.transform("pairs", lambda p: p["old"]))) == F.size("pairs")
     same = F.forall("pairs", lambda p: p["old"] == p["new"])
-    judged = lines.filter(consistent).withColumn("same", same)
-    found = judged.groupBy("doc_id", "item_id", "n_windows").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("n_found"), F.bool_and("same").alias("exact")
-    )
-    share = F.col("n_found") / F.col("n_windows")
-    return found.filter(share >= coverage).select("doc_id", "item_id", F.col("n_windows").cast("long"), F.col("n_found").cast("long"), share.alias("coverage"), "exact")
+    near = F.explode(F.sequence(F.col("shift") - DRIFT, F.col("shift") + DRIFT))
+    placed = lines.filter(consistent).select(*pair, near.alias("centre"), "places", F.when(same, F.col("places")).alias("copied"))
+    count = lambda name: F.size(F.array_distinct(F.flatten(F.collect_list(name))))
+    around = placed.groupBy(*pair, "centre").agg(count("places").alias("n_found"), count("copied").alias("n_copied"))
+    best = around.groupBy("doc_id", "item_id", "n_windows").agg(F.max(F.struct("n_found", "n_copied")).alias("best"))
+    share = F.col("best.n_found") / F.col("n_windows")
+    found = best.select("doc_id", "item_id", F.col("n_windows").cast("long"), F.col("best.n_found").cast("long").alias("n_found"), share.alias("coverage"), (F.col("best.n_copied") == F.col("best.n_found")).alias("exact"))
+    return found.filter(F.col("coverage") >= coverage)
