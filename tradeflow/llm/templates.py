@@ -12,7 +12,7 @@ later form of the two sides) must be consistent: one slot value of the item alwa
 A document holds an item if at least ``COVERAGE`` of the item's windows are found around one alignment, at most ``DRIFT``
 words away from it (for small insertions); ``exact`` tells copies from re-parameterised versions.
 
-Every word is hashed once, and windows combine these numbers; words are looked at again only in windows that hit.
+Every word is hashed once; windows and slots are made of these numbers.
 
 Defined cases: null and empty texts have no windows; an item of fewer than ``WIDTH`` words is one window of its
 own width; an item without words is never found; items with equal texts are all found; rows are judged one by one,
@@ -29,10 +29,12 @@ WIDTH, COVERAGE, LITERALS, DRIFT = 5, 0.8, 2, 2
 #: Benchmark windows up to which their table is broadcast (about 100 bytes each); larger ones are joined by a shuffle.
 MAX_BROADCAST = 500_000
 MARK = "\u0001"
-#: Types of placeholders as ``template_words`` writes them; their places here, from 1, are their codes.
-KINDS = "acnu"
-#: Codes of the placeholders that each form keeps; a form's other words are literal.
-FORMS = ((), (1, 3, 4), (1, 2, 3, 4))
+#: Low bits of a word's code: a placeholder, a capitalised word that does not follow a lower-case one, and two bits of type.
+SLOT, CAPITAL, FLAGS = 1, 2, 16
+#: Flags of the types of placeholders that ``template_words`` writes. Both kinds of names are of one type.
+TYPES = {"a": SLOT, "c": SLOT | CAPITAL, "n": SLOT | 4, "u": SLOT | 8}
+#: Forms of a window: no placeholders; names after a lower-case word, numbers and units; all names too.
+FORMS = 3
 
 # Units after a number.
 UNITS = (
@@ -59,50 +61,75 @@ def template_words(text: Column) -> Column:
     return F.split(F.btrim(done, F.lit(" \t\n\r\f\x0b")), r"\s+")  # one empty word if there is none
 
 
-def tagged_words(text: Column) -> Column:
-    """An array of ``word, kind, own``: the template word, its placeholder's code (0 for none) and a hash of the literal word."""
-    code = lambda w: F.when(w.startswith(MARK), F.instr(F.lit(KINDS), F.substring(w, 2, 1))).otherwise(0)
-    literal = lambda w: F.when(w.startswith(MARK), F.substring(w, 3, 2**31 - 1)).otherwise(w)
-    return F.transform(template_words(text), lambda w: F.struct(w.alias("word"), code(w).alias("kind"), F.xxhash64(literal(w)).alias("own")))
+def word_codes(text: Column) -> Column:
+    """A number for every template word: a hash of the literal word, with the flags of its placeholder in the lowest four bits."""
+    def code(w: Column) -> Column:
+        slot = F.ascii(F.translate(F.substring(w, 2, 1), "acnu", "".join(chr(64 + TYPES[k]) for k in "acnu"))) - 64
+        return F.when(w.startswith(MARK), _literal(F.xxhash64(F.substring(w, 3, 2**31 - 1))).bitwiseOR(slot.cast("long"))).otherwise(_literal(F.xxhash64(w)))
+
+    return F.transform(template_words(text), code)
+
+
+def _bits(code: Column, mask: int) -> Column:
+    return code.bitwiseAND(F.lit(mask).cast("long"))
+
+
+def _literal(code: Column) -> Column:
+    return _bits(code, -FLAGS)
+
+
+def _typed(code: Column) -> Column:
+    """A placeholder without its word; never a multiple of ``FLAGS``, as literal words are."""
+    return _bits(code, FLAGS - 1 - CAPITAL)
+
+
+def _form_hashes(words: list[Column], slots: Column, capitals: Column) -> list[Column]:
+    """The hash of a window in each form; null if the form is that of another one or leaves too few literal words."""
+    size = len(words)
+    plain = [F.when(_bits(w, SLOT | CAPITAL) == SLOT, _typed(w)).otherwise(_literal(w)) for w in words]
+    every = [F.when(_bits(w, SLOT) == SLOT, _typed(w)).otherwise(w) for w in words]
+    return [
+        F.xxhash64(*[_literal(w) for w in words]),
+        F.when((slots > capitals) & (size - slots + capitals >= LITERALS), F.xxhash64(*plain)),
+        F.when((capitals > 0) & (size - slots >= LITERALS), F.xxhash64(*every)),
+    ]
 
 
 def windows(rows: DataFrame, keys: list[str], text_col: str, sizes: list[int]) -> DataFrame:
-    """``keys, n_words, place, form, size, hash, words`` of all windows of ``sizes`` (ascending) words in their forms.
+    """``keys, n_words, place, form, size, hash, w0, w1, ...`` of all windows of ``sizes`` (ascending) words in their forms.
 
-    ``words`` is a struct of the tagged words from the place on. Windows are made by zipping the word array with itself,
-    so that hashing and joining run in compiled code and build no array for a window.
+    ``w0`` and on are the codes of the words from the place on. Windows are made by zipping the code array with itself, so
+    that hashing and joining run in compiled code on numbers; steps are kept small enough for the JIT compiler.
     """
     width = max(sizes)  # the last one
-    words = rows.select(*keys, tagged_words(rows[text_col]).alias("words"))
-    n = F.when(F.col("words")[0]["word"] == "", 0).otherwise(F.size("words"))
-    count = F.greatest(n - (min(sizes) - 1), F.lit(0))
-    zipped = F.arrays_zip(*[F.slice("words", k + 1, count).alias(f"w{k}") for k in range(width)])
-    found = words.select(*keys, n.alias("n_words"), F.posexplode(zipped).alias("place", "w"))
-    kind, own = ([F.col(f"w.w{k}")[name] for k in range(width)] for name in ("kind", "own"))
-    literal, marked = [], []
+    words = rows.select(*keys, word_codes(rows[text_col]).alias("codes"))
+    n = F.when(F.col("codes")[0] == _literal(F.xxhash64(F.lit(""))), 0).otherwise(F.size("codes"))  # one empty word if there is none
+    counted = words.select(*keys, "codes", n.alias("n_words")).withColumn("count", F.greatest(F.col("n_words") - (min(sizes) - 1), F.lit(0)))
+    names = [f"w{k}" for k in range(width)]
+    zipped = F.arrays_zip(*[F.slice("codes", F.lit(k + 1), F.col("count")).alias(name) for k, name in enumerate(names)])
+    found = counted.select(*keys, "n_words", F.posexplode(zipped).alias("place", "w")).select(*keys, "n_words", "place", *[F.col("w")[name].alias(name) for name in names])
+
+    def flagged(size: int, flag: int) -> Column:
+        """Words of the window with a flag."""
+        return sum((F.coalesce(_bits(F.col(name), flag), F.lit(0)) for name in names[1:size]), F.coalesce(_bits(F.col(names[0]), flag), F.lit(0))) / flag
+
+    for size in sizes:
+        found = found.withColumns({f"slots{size}": flagged(size, SLOT).cast("int"), f"capitals{size}": flagged(size, CAPITAL).cast("int")})
+    hashes = []
     for size in sizes:
-        there = own[size - 1].isNotNull()
-        names = sum((F.when(k == 2, 1).otherwise(0) for k in kind[1:size]), F.when(kind[0] == 2, 1).otherwise(0))
-        slots = sum((F.when(k > 0, 1).otherwise(0) for k in kind[1:size]), F.when(kind[0] > 0, 1).otherwise(0))
-        differs = (F.lit(True), slots > names, names > 0)
-        left = (F.lit(size), size - slots + names, size - slots)
-        for form, codes in enumerate(FORMS):
-            # A name's code is 1 wherever it stands.
-            value = [F.when(k.isin(*codes), F.when(k == 2, 1).otherwise(k).cast("long")).otherwise(o) if codes else o for k, o in zip(kind[:size], own, strict=False)]
-            one = F.struct(F.lit(form).alias("form"), F.lit(size).alias("size"), F.xxhash64(F.lit(size), *value).alias("hash"))
-            wanted = there & differs[form] & (left[form] >= LITERALS if form else F.lit(True))
-            (marked if form else literal).append(F.when(wanted, one))
-    # ``slots`` is that of the longest windows, which hold all others.
-    forms = F.when(slots > 0, F.array(*literal, *marked)).otherwise(F.array(*literal))
-    every = found.select(*keys, "n_words", "place", "w", F.explode(forms).alias("h")).filter(F.col("h").isNotNull())
-    return every.select(*keys, "n_words", "place", "h.form", "h.size", "h.hash", F.col("w").alias("words"))
+        there = F.col(names[size - 1]).isNotNull()
+        hashes += [F.when(there, h) for h in _form_hashes([F.col(name) for name in names[:size]], F.col(f"slots{size}"), F.col(f"capitals{size}"))]
+    plain = F.when(F.col(f"slots{width}") > 0, F.array(*hashes)).otherwise(F.array(*[h if k % FORMS == 0 else F.lit(None).cast("long") for k, h in enumerate(hashes)]))
+    every = found.select(*keys, "n_words", "place", *names, F.posexplode(plain).alias("at", "hash")).filter(F.col("hash").isNotNull())
+    size = F.element_at(F.array(*map(F.lit, sizes)), F.floor(F.col("at") / FORMS).cast("int") + 1)
+    return every.select(*keys, "n_words", "place", (F.col("at") % FORMS).alias("form"), size.alias("size"), "hash", *names)
 
 
 def slot_values(width: int) -> Column:
-    """The placeholder words of a window that its form keeps, in order; names have one type."""
-    words = F.slice(F.array(*[F.col(f"words.w{k}") for k in range(width)]), F.lit(1), F.col("size"))
-    kept = F.filter(words, lambda w: (w["kind"] > 0) & ((F.col("form") == 2) | ((F.col("form") == 1) & (w["kind"] != 2))))
-    return F.transform(kept, lambda w: F.regexp_replace(w["word"], f"^{MARK}c", f"{MARK}a"))
+    """The codes of a window's words that its form makes placeholders, in order; names have one type."""
+    words = F.slice(F.array(*[F.col(f"w{k}") for k in range(width)]), F.lit(1), F.col("size"))
+    kept = F.filter(words, lambda w: (_bits(w, SLOT) == SLOT) & ((F.col("form") == 2) | ((F.col("form") == 1) & (_bits(w, CAPITAL) == 0))))
+    return F.transform(kept, lambda w: _bits(w, ~CAPITAL))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, coverage: float = COVERAGE, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
