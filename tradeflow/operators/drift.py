@@ -74,16 +74,25 @@ def psi(
     ).select("feature", F.array_distinct("percentiles").alias("edges"))
     edges = cut_lineage(edges)  # one row per feature
 
-    size, found = F.size("edges"), F.col("_found")
-    is_top = F.col("value") == F.element_at("edges", -1)
-    bin_of = F.when(is_top, size - 2).when((found == 0) | (found == size), F.lit(-1)).otherwise(found - 1)
     placed = with_upper_bound(
         pairs.join(F.broadcast(edges), "feature"), "_found", "edges", F.col("value"), bins + 1
     )
-    counts = placed.groupBy("feature", bin_of.alias("bin")).agg(
+    counts = placed.groupBy("feature", bin_of("_found", "value").alias("bin")).agg(
         F.count_if(_on("reference")).alias("r"), F.count_if(_on("current")).alias("c")
     )
-    counts = cut_lineage(counts)  # features * (bins + 1) rows
+    return psi_of_counts(edges, cut_lineage(counts))  # features * (bins + 1) rows
+
+
+def bin_of(found: str, value: str) -> Column:
+    """Bin of a value from the number of ``edges`` up to it; -1 outside. The last bin is closed above."""
+    size, number = F.size("edges"), F.col(found)
+    is_top = F.col(value) == F.element_at("edges", -1)
+    return F.when(is_top, size - 2).when((number == 0) | (number == size), F.lit(-1)).otherwise(number - 1)
+
+
+def psi_of_counts(edges: DataFrame, counts: DataFrame) -> DataFrame:
+    """PSI of ``feature, bin, r, c`` (rows of the reference and the current side) with ``feature, edges``."""
+    size = F.size("edges")
     totals = counts.groupBy("feature").agg(F.sum("r").alias("n_r"), F.sum("c").alias("n_c"))
     spine = edges.select(
         "feature", size.alias("n_edges"), F.explode_outer(F.when(size > 1, F.sequence(F.lit(0), size - 2))).alias("bin")
@@ -105,11 +114,12 @@ def psi(
 
 def js_divergence(sides: DataFrame, features: Sequence[str]) -> DataFrame:
     """Jensen-Shannon divergence (nats) per categorical feature over the union of categories."""
-    counts = cut_lineage(
-        _pairs(sides, features, "string")
-        .groupBy("feature", "value")
-        .agg(F.count_if(_on("reference")).alias("r"), F.count_if(_on("current")).alias("c"))
-    )
+    counts = _pairs(sides, features, "string").groupBy("feature", "value")
+    return js_of_counts(cut_lineage(counts.agg(F.count_if(_on("reference")).alias("r"), F.count_if(_on("current")).alias("c"))))
+
+
+def js_of_counts(counts: DataFrame) -> DataFrame:
+    """Jensen-Shannon divergence of stored ``feature, value, r, c``."""
     totals = counts.groupBy("feature").agg(
         F.sum("r").alias("n_r"), F.sum("c").alias("n_c"), F.count(F.lit(1)).alias("k")
     )
@@ -128,6 +138,17 @@ def js_divergence(sides: DataFrame, features: Sequence[str]) -> DataFrame:
     )
 
 
+def rated(values: DataFrame, metric: str, threshold: float) -> DataFrame:
+    """Report rows of ``feature, value``."""
+    return values.select(
+        "feature",
+        F.lit(metric).alias("metric"),
+        "value",
+        F.lit(float(threshold)).alias("threshold"),
+        (F.col("value") > threshold).alias("drifted"),
+    )
+
+
 def drift_report(
     sides: DataFrame,
     numeric: Sequence[str],
@@ -137,16 +158,6 @@ def drift_report(
     direct_limit: int = DIRECT_LIMIT,
 ) -> DataFrame:
     """One row per feature: measure, unrounded value, threshold, and whether it is exceeded."""
-
-    def rated(values: DataFrame, metric: str, threshold: float) -> DataFrame:
-        return values.select(
-            "feature",
-            F.lit(metric).alias("metric"),
-            "value",
-            F.lit(float(threshold)).alias("threshold"),
-            (F.col("value") > threshold).alias("drifted"),
-        )
-
     parts = []
     if any(f in sides.columns for f in numeric):
         parts.append(rated(psi(sides, numeric, direct_limit=direct_limit), "psi", psi_threshold))

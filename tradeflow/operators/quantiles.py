@@ -42,17 +42,17 @@ def exact_percentiles(
         names = F.broadcast(large.select("_g"))  # at most total / direct_limit rows
         ranked = _values_at_ranks(data.join(names, "_g", "left_semi"), ["_g"], large, probs, direct_limit)
         direct = data.join(names, "_g", "left_anti").groupBy("_g").agg(*counted)
-        found = direct.unionByName(_interpolate(ranked, ["_g"], probs))
+        found = direct.unionByName(interpolate(ranked, ["_g"], probs))
     return found.select(*[F.col(f"_g.{c}").alias(c) for c in by], "n", "percentiles")
 
 
-def _position(prob: float) -> Column:
+def position_of(prob: float) -> Column:
     return F.lit(float(prob)) * (F.col("n") - 1)
 
 
-def _wanted_ranks(sizes: DataFrame, by: list[str], probs: Sequence[float]) -> DataFrame:
+def wanted_ranks(sizes: DataFrame, by: list[str], probs: Sequence[float]) -> DataFrame:
     """The 1-based ranks below and above each percentile's position."""
-    ends = [F.struct((f(_position(p)) + 1).cast("bigint").alias("rank")) for p in probs for f in (F.floor, F.ceil)]
+    ends = [F.struct((f(position_of(p)) + 1).cast("bigint").alias("rank")) for p in probs for f in (F.floor, F.ceil)]
     return sizes.select(*by, "n", F.inline(F.array(*ends))).distinct()
 
 
@@ -62,7 +62,7 @@ def _values_at_ranks(
     """Value of every wanted rank. ``slot`` names the narrowed range a row lies in."""
     group = [*by, "slot"]
     active = data.withColumn("slot", F.lit(""))
-    open_ranks = _wanted_ranks(sizes, by, probs).withColumn("slot", F.lit("")).withColumn("before", F.lit(0).cast("bigint"))
+    open_ranks = wanted_ranks(sizes, by, probs).withColumn("slot", F.lit("")).withColumn("before", F.lit(0).cast("bigint"))
     found: list[DataFrame] = []
     while True:
         # Side tables below hold at most groups * ranks slots of CELLS cells: bounded, hence broadcast.
@@ -124,13 +124,13 @@ def _values_at_ranks(
     return result
 
 
-def _interpolate(ranked: DataFrame, by: list[str], probs: Sequence[float]) -> DataFrame:
+def interpolate(ranked: DataFrame, by: list[str], probs: Sequence[float]) -> DataFrame:
     values = ranked.groupBy(*by).agg(
         F.first("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("rank", "x"))).alias("_at")
     )
     points = []
     for prob in probs:
-        position = _position(prob)
+        position = position_of(prob)
         low = F.col("_at")[(F.floor(position) + 1).cast("bigint")]
         high = F.col("_at")[(F.ceil(position) + 1).cast("bigint")]
         points.append(low + (high - low) * (position - F.floor(position)))

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tradeflow.operators import dashboard, drift
+from tradeflow.operators import daily_drift, dashboard, drift
 from tradeflow.operators import enrich as en
 from tradeflow.operators.quantiles import exact_percentiles
 from tradeflow.plans import fixtures as fx
 from tradeflow.plans.catalog import registry as reg
 from tradeflow.plans.catalog.registry import query, r4, rounded, sql_r4
+from tradeflow.session import fresh_path
 
 _SIDES = f"""{reg.TRADES}, silver AS ({reg.enriched("trades")}),
 sides AS (
@@ -126,6 +127,41 @@ def drift_gauges(spark, sf_dir):
     return dashboard.drift_metrics(drift.drift_report(_drifted(spark, sf_dir), _NUM, _CAT))
 
 
+# Whole days: the newest one, and the 30 before it. Midnight belongs to the day that ends.
+_DAY = 'CAST(ceil(epoch_us("timestamp") / 86400000000.0) AS BIGINT)'
+_BY_DAY = f"""{reg.TRADES}, silver AS ({reg.enriched("trades")}),
+numbered AS (SELECT *, {_DAY} AS day, max({_DAY}) OVER () AS last_day FROM silver),
+sides AS (SELECT *, CASE WHEN day = last_day THEN 'current' ELSE 'reference' END AS side FROM numbered WHERE day >= last_day - 30),
+{psi_sql("sides", _NUM)}, {js_sql("sides", _CAT)},
+report AS (
+  SELECT feature, 'psi' AS metric, value, 0.2::DOUBLE AS threshold, value > 0.2 AS drifted FROM psi
+  UNION ALL SELECT feature, 'js_divergence', value, 0.1::DOUBLE, value > 0.1 FROM js)"""
+
+
+def _recorded(spark, sf_dir):
+    """Daily counts recorded in two runs, the second of which reads the newest day only."""
+    silver, folder = en.enrich(fx.trades(spark, sf_dir)), fresh_path(spark, "daily-drift")
+    last_day = silver.agg(F.max(daily_drift.day_of(F.col("timestamp")))).first()[0]
+    for day in (last_day - 1, last_day):
+        daily_drift.record_new(silver, folder, _NUM, _CAT, day)
+    return folder, last_day
+
+
+@query(f"WITH {_BY_DAY} SELECT feature, metric, {sql_r4('value', 'value', 8)}, threshold, drifted FROM report")
+def drift_report_daily(spark, sf_dir):
+    """The report over whole days from stored daily counts."""
+    return rounded(daily_drift.report(spark, *_recorded(spark, sf_dir)), "value", digits=8)
+
+
+@query(
+    f"""WITH {_BY_DAY}
+SELECT (SELECT count(*) FROM sides WHERE side = 'reference') AS reference_size,
+       (SELECT count(*) FROM sides WHERE side = 'current') AS current_size"""
+)
+def drift_sizes_daily(spark, sf_dir):
+    return daily_drift.sizes(spark, *_recorded(spark, sf_dir))
+
+
 _SCORES = f"""scores AS (
   SELECT ({reg.K} + event_id % 10) / 110.0::DOUBLE AS score,
          CASE WHEN ts > (SELECT max(ts) FROM events) - INTERVAL 1 DAY THEN 'current' ELSE 'reference' END AS side FROM events)"""
