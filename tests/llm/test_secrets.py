@@ -1,5 +1,7 @@
 import math
+import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -57,6 +59,29 @@ def test_incremental_entropy(spark, run):
     assert got == pytest.approx(max(entropy(run[k : k + 20]) for k in range(len(run) - 19)), abs=1e-9)
 
 
+def test_one_very_long_run_and_very_many_matches(docs_of):
+    rng = random.Random(3)
+    long = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/") for _ in range(100_000))
+    many = " ".join(f"token=abc{k:06d} {k:06d}aZ3kQ9xW1pL7mN5vB2cR8t" for k in range(25_000))
+    started = time.monotonic()
+    rows = {r.doc_id: r for r in se.scan(docs_of([long, many])).collect()}
+    assert time.monotonic() - started < 40
+    assert [(s.start, s.end) for s in rows[0].added] == [(0, 100_000)]
+    assert len(rows[1].base) == 25_000 and [(s.start, s.place, s.end) for s in rows[1].added] == [(m.start(), 3, m.end()) for m in re.finditer("[0-9]{6}aZ[^ ]+", many)]
+
+
+def test_random_texts_equal_brute_force(docs_of):
+    rng = random.Random(8)
+    pieces = ["token=", "secret: ", "aZ3kQ9xW", "1pL7mN5v", "B2cR8t", "0123", "abcdef", "deadbeef", "AKIA", "QWERTYUIOP12", " ", " ", "é", "-", "/", ".", "="]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(1, 40))) for _ in range(300)]
+    rows = {r.doc_id: r for r in se.scan(docs_of(texts)).collect()}
+    for k, text in enumerate(texts):
+        want = base(text)
+        assert [(s.start, s.place, s.end) for s in rows[k].base] == want, text
+        assert [(s.start, s.place, s.end) for s in rows[k].added] == added(text, want), text
+    assert sum(len(r.added) for r in rows.values()) > 50 and sum(len(r.base) for r in rows.values()) > 100
+
+
 def test_no_python_in_the_plan(docs_of):
     plan = se.scan(docs_of(["x"]))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
