@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -64,7 +66,7 @@ def test_tournament_survives_a_failing_model(spark):
     models = {
         "random_forest": md.random_forest({"trees": 2, "depth": 3, "min_rows": 1}),
         "broken": broken,
-        "boosted": md.boosted_trees({**md.BOOSTED_B, "rounds": 5, "step": 1.0, "depth": 2}),
+        "boosted": md.boosted_trees(replace(md.BOOSTED_B, rounds=5, step=1.0, depth=2)),
     }
     result = md.run_tournament(data, models)
     assert set(result.errors) == {"broken"}, {name: text[:600] for name, text in result.errors.items()}

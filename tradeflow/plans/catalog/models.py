@@ -5,9 +5,12 @@ Rounds, trees and depths below are chosen for small tables; the full settings ar
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
-from tradeflow.functions.scalar import prediction_label, risk_level
+from tradeflow.functions.scalar import prediction_label, risk_level, utc_now
+from tradeflow.operators import boosting
 from tradeflow.operators import features as ft
 from tradeflow.operators import labels as lb
 from tradeflow.operators import models as md
@@ -20,8 +23,8 @@ from tradeflow.session import cut_lineage
 FOREST = {"trees": 10, "depth": 6, "min_rows": 5}
 ISOLATION_TREES = 60
 MODELS = {
-    "boosted_a": md.boosted_trees({**md.BOOSTED_A, "rounds": 8, "step": 0.3, "depth": 4}),
-    "boosted_b": md.boosted_trees({**md.BOOSTED_B, "rounds": 6, "step": 0.3, "depth": 3}),
+    "boosted_a": md.boosted_trees(replace(md.BOOSTED_A, rounds=8, step=0.3, depth=4)),
+    "boosted_b": md.boosted_trees(replace(md.BOOSTED_B, rounds=6, step=0.3, depth=3)),
     "random_forest": md.random_forest(FOREST),
     "isolation_forest": md.isolation_forest(ISOLATION_TREES),
 }
@@ -123,3 +126,73 @@ def contamination_checks(spark, sf_dir):
     ties = scored.join(F.broadcast(found), F.col("score") == F.col("least")).agg(F.count("*").alias("tied"))
     both = found.withColumn("k", F.lit(0)).join(ties.withColumn("k", F.lit(0)), "k")  # one row each
     return both.select(F.col("n").alias("train_rows"), (F.abs(F.col("flagged") - 0.015 * F.col("n")) <= F.col("tied") + 1).alias("share_met"))
+
+
+_SCREENED = ["price", "volume", "hour_of_day", "spread"]
+_SPREAD = "CASE WHEN minute_of_hour % 5 = 0 THEN NULL ELSE price * minute_of_hour END"
+GAINS = boosting.Settings(bins=16, min_rows=20, l2=1.0, positive_weight=10.0)
+
+
+@query(
+    f"""WITH {reg.TRADES}, silver AS ({reg.enriched("trades")}),
+d AS (SELECT CAST(trade_type = 'block' AS INTEGER) AS y, price, volume, hour_of_day, {_SPREAD} AS spread FROM silver),
+pairs AS ({" UNION ALL ".join(f"SELECT '{f}' AS feature, CAST({f} AS DOUBLE) AS v, y FROM d" for f in _SCREENED)}),
+cuts AS (
+  SELECT feature, unnest(list_distinct(quantile_cont(v, [{", ".join(f"{k}/16.0" for k in range(1, 16))}]))) AS cut FROM pairs WHERE v IS NOT NULL GROUP BY feature
+  UNION ALL SELECT DISTINCT feature, 'infinity'::DOUBLE FROM pairs),
+counted AS (
+  SELECT feature, cut, missing_left, count(*) FILTER (WHERE l) AS nl, coalesce(sum(y) FILTER (WHERE l), 0) AS pl, count(*) AS n, sum(y) AS pos
+  FROM (SELECT feature, cut, missing_left, y, CASE WHEN v IS NULL THEN missing_left ELSE v <= cut END AS l
+        FROM pairs JOIN cuts USING (feature), (VALUES (FALSE), (TRUE)) m(missing_left))
+  GROUP BY feature, cut, missing_left),
+sums AS (
+  SELECT *, 10 * pl * (p - 1) + (nl - pl) * p AS gl, (10 * pl + nl - pl) * p * (1 - p) AS hl,
+         10 * pos * (p - 1) + (n - pos) * p AS g, (10 * pos + n - pos) * p * (1 - p) AS h
+  FROM counted, (SELECT avg(y) AS p FROM d)),
+gains AS (
+  SELECT *, gl * gl / (hl + 1) + (g - gl) * (g - gl) / (h - hl + 1) - g * g / (h + 1) AS gain
+  FROM sums WHERE nl >= 20 AND n - nl >= 20 AND hl >= 1 AND h - hl >= 1)
+SELECT feature, CASE WHEN isfinite(cut) THEN round(cut + 1.37e-6, 4) END AS cut, missing_left, {reg.sql_r4("gain", "gain", 2)},
+       nl AS left_rows, n - nl AS right_rows
+FROM gains WHERE gain > 1e-9
+QUALIFY row_number() OVER (PARTITION BY feature ORDER BY round(gain, 6) DESC, cut, missing_left) = 1"""
+)
+def boosted_split_gains(spark, sf_dir):
+    """The first split of every feature, with missing values sent to the better side."""
+    silver = enrich(fx.trades(spark, sf_dir))
+    rows = silver.select("price", "volume", "hour_of_day", F.expr(_SPREAD).alias("spread"), (F.col("trade_type") == "block").cast("int").alias("y"))
+    gains = boosting.split_gains(rows, _SCREENED, "y", GAINS)
+    return rounded(rounded(gains, "gain", digits=2), "cut")
+
+
+@query(f"WITH {_TESTS} SELECT CAST(sum(quota) AS BIGINT) AS test_rows, TRUE AS stopped_early, TRUE AS kept_the_best FROM quota")
+def boosted_stop_checks(spark, sf_dir):
+    """Training ends once two checks of the held-out PR-AUC bring nothing better, and keeps the rounds of the best one."""
+    data = prepared(spark, sf_dir)
+    rows = data.train.withColumn("is_test", F.lit(False)).unionByName(data.test.withColumn("is_test", F.lit(True)))
+    settings = replace(md.BOOSTED_B, rounds=30, step=1.0, depth=3, patience=2, check_every=1)
+    model = boosting.fit(cut_lineage(rows), data.features, "is_anomaly", settings, valid="is_test")
+    best = max(model.history, key=lambda check: check[1])[0]
+    return data.test.agg(F.count("*").alias("test_rows")).select("test_rows", F.lit(len(model.history) == best + 2).alias("stopped_early"), F.lit(len(model.trees) == best).alias("kept_the_best"))
+
+
+_CODED = ["symbol", "exchange", "trade_type", "session_type"]
+
+
+@query(
+    f"""WITH {reg.TRADES}, silver AS ({reg.enriched("trades")}), train AS (SELECT * FROM silver WHERE symbol <> 'VIEW'),
+{", ".join(f"{c}_codes AS (SELECT {c}, CAST(row_number() OVER (ORDER BY {c}) - 1 AS INTEGER) AS {c}_code FROM (SELECT DISTINCT {c} FROM train))" for c in _CODED)}
+SELECT trade_id, price, volume, hour_of_day, minute_of_hour, {", ".join(f"coalesce({c}_code, -1) AS {c}_code" for c in _CODED)}, CAST(price > 50 AS INTEGER) AS is_anomaly
+FROM silver {" ".join(f"LEFT JOIN {c}_codes USING ({c})" for c in _CODED)}"""
+)
+def prepared_features(spark, sf_dir):
+    """Model rows: the contract's columns that are there, categories as codes of the training rows, -1 for unknown ones."""
+    rows = enrich(fx.trades(spark, sf_dir)).withColumn("is_anomaly", (F.col("price") > 50).cast("int"))
+    return md.prepare(rows.filter("symbol <> 'VIEW'"), rows).test
+
+
+@query("SELECT count(*) AS trades, TRUE AS is_now FROM events")
+def utc_now_stamp(spark, sf_dir):
+    """The stamp of a run is the present instant, whatever the session's time zone."""
+    stamped = fx.trades(spark, sf_dir).select(F.abs(F.unix_micros(utc_now()) - F.unix_micros(F.current_timestamp())).alias("off"))
+    return stamped.agg(F.count("*").alias("trades"), (F.max("off") < 60_000_000).alias("is_now"))
