@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from tradeflow.operators import metrics as mt
 from tradeflow.operators import monitoring as mon
+from tradeflow.operators import rollups
 from tradeflow.plans import fixtures as fx
 from tradeflow.plans.catalog import registry as reg
 from tradeflow.plans.catalog.registry import query, r4, rounded, sql_r4
+from tradeflow.session import cut_lineage
 
 
 @query(
@@ -126,3 +128,74 @@ def run_metrics_table(spark, sf_dir):
     names = ["pr_auc", "f1_score", "precision", "recall", "accuracy"]
     wide = wide.select("model_type", "run_id", *[r4(c, 6).alias(c) for c in names])
     return wide.unpivot(["model_type", "run_id"], names, "metric", "value")
+
+
+_LATER = """"timestamp" >= (SELECT time_bucket(INTERVAL 30 MINUTE, min(ts)) FROM events) + INTERVAL 10 DAY"""
+_SKETCH = f"""celled AS (
+  SELECT model_name, CAST(CASE WHEN v > 0 THEN ceil(ln(v) / {rollups.log(rollups.GROWTH)!r}) + 200000
+         WHEN v < 0 THEN -(ceil(ln(-v) / {rollups.log(rollups.GROWTH)!r}) + 200000) ELSE 0 END AS BIGINT) AS cell, v
+  FROM (SELECT model_name, CAST(execution_duration_ms AS DOUBLE) AS v FROM log WHERE {_LATER})),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY model_name ORDER BY cell) - 1 AS place, row_number() OVER (PARTITION BY model_name ORDER BY v) - 1 AS exact_place,
+         count(*) OVER (PARTITION BY model_name) AS n FROM celled),
+valued AS (SELECT *, sign(cell) * exp((abs(cell) - 200000) * {rollups.log(rollups.GROWTH)!r}) * {2 / (rollups.GROWTH + 1)!r} AS stands FROM ranked)"""
+
+
+def _rollups(spark, sf_dir):
+    """Stored half-hour rollups of the log, and the instant from which some are read."""
+    log = fx.inference_log(spark, sf_dir)
+    stored = cut_lineage(rollups.rollup(log, ["model_name"], "execution_duration_ms", "key"))
+    return log, stored, F.lit(stored.agg(F.min("window_start")).first()[0]) + F.expr("INTERVAL 10 DAYS")
+
+
+@query(
+    f"""WITH {reg.LOG}, {_SKETCH}
+SELECT model_name, any_value(n) AS rows, {sql_r4("avg(v)", "average", 6)},
+       {sql_r4("max(stands) FILTER (WHERE place = floor(0.5 * (n - 1)))", "q50", 6)}, {sql_r4("max(stands) FILTER (WHERE place = floor(0.99 * (n - 1)))", "q99", 6)}
+FROM valued GROUP BY model_name"""
+)
+def latency_rollup(spark, sf_dir):
+    """Tail latencies of a range of windows, merged from half-hour sketches."""
+    _, stored, start = _rollups(spark, sf_dir)
+    found = rollups.merged(stored.filter(F.col("window_start") >= start), ["model_name"]).drop("distinct_keys")
+    return rounded(found, "average", "q50", "q99", digits=6)
+
+
+@query(
+    f"""WITH {reg.LOG}, {_SKETCH}
+SELECT model_name, {sql_r4("max(v) FILTER (WHERE exact_place = floor(0.99 * (n - 1)))", "exact_q99", 6)}, TRUE AS within_error FROM valued GROUP BY model_name"""
+)
+def latency_rollup_bounds(spark, sf_dir):
+    """Merged tail latencies against the exact ones: never further off than the stated error."""
+    log, stored, start = _rollups(spark, sf_dir)
+    found = rollups.merged(stored.filter(F.col("window_start") >= start), ["model_name"], [0.99])
+    exact = log.filter(F.col("timestamp") >= start).groupBy("model_name").agg(F.sort_array(F.collect_list("execution_duration_ms")).alias("all"))
+    exact = exact.select("model_name", F.get("all", F.floor(F.lit(0.99) * (F.size("all") - 1)).cast("int")).alias("exact_q99"))
+    both = found.join(exact, "model_name")
+    near = F.abs(F.col("q99") - F.col("exact_q99")) <= F.abs("exact_q99") * (rollups.ERROR + 1e-9)
+    return rounded(both.select("model_name", "exact_q99", near.alias("within_error")), "exact_q99", digits=6)
+
+
+@query(f"WITH {reg.LOG} SELECT model_name, count(*) AS rows, count(DISTINCT key) AS keys, TRUE AS within_bound FROM log GROUP BY model_name")
+def distinct_keys_rollup(spark, sf_dir):
+    """Distinct keys of all windows from their sketches, within four standard errors of the exact number."""
+    log, stored, _ = _rollups(spark, sf_dir)
+    exact = log.groupBy("model_name").agg(F.count_distinct("key").alias("keys"))
+    both = rollups.merged(stored, ["model_name"]).join(exact, "model_name")
+    near = F.abs(F.col("distinct_keys") - F.col("keys")) <= 4 * 1.04 / 2 ** (rollups.LOG_K / 2) * F.col("keys") + 1
+    return both.select("model_name", "rows", "keys", near.alias("within_bound"))
+
+
+@query(
+    f"""WITH {reg.DIRTY}
+SELECT count(*) AS count, count(DISTINCT symbol) AS distinct_symbols, {sql_r4("avg(price)", "avg_price", 6)}, {sql_r4("stddev_samp(price)", "stddev_price", 6)},
+       sum(volume) AS total_volume, min("timestamp") AS min_timestamp, max("timestamp") AS max_timestamp FROM dirty"""
+)
+def batch_quality_merged(spark, sf_dir):
+    """Quality of seven micro-batches together, from one stored row each."""
+    dirty = fx.dirty_trades(spark, sf_dir)
+    parts = [rollups.batch_rollup(dirty.filter(F.crc32("trade_id") % 7 == k), k) for k in range(7)]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    return rounded(rollups.merged_quality(cut_lineage(rows)), "avg_price", "stddev_price", digits=6)

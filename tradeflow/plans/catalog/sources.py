@@ -97,6 +97,11 @@ def decode_bars(spark, sf_dir):
     return decode.decode_bars(bar_payloads(spark, sf_dir), interval="60min")
 
 
+@query(f"WITH {_BARS} SELECT *, '60min' AS interval FROM bars WHERE {_KEPT}")
+def decode_bars_variant(spark, sf_dir):
+    return decode.decode_bars_variant(bar_payloads(spark, sf_dir), interval="60min")
+
+
 @query(
     f"""WITH {_BARS}, days AS (SELECT DISTINCT symbol, day("timestamp") AS d FROM bars)
 SELECT CASE WHEN d = 13 THEN 'error' WHEN d IN (14, 15) THEN 'rate_limited' WHEN d = 16 THEN 'unknown' ELSE 'data' END AS kind,

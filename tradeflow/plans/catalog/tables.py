@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tradeflow.operators import dashboard, drift, snapshots
+from tradeflow.operators import dashboard, differences, drift, snapshots
 from tradeflow.operators import labels as lb
 from tradeflow.operators import monitoring as mon
 from tradeflow.plans import fixtures as fx
@@ -109,3 +109,27 @@ def deployment_states(spark, sf_dir):
         snapshots.write_version(trades, path)
         snapshots.capture_state(spark, path, f"{path}-log", model, "scoring")
     return snapshots.captured_states(spark, f"{path}-log").select("model_version", "endpoint", "feature_version")
+
+
+_CHANGED = """changed AS (
+  SELECT trade_id, symbol, CASE WHEN CAST(trade_id AS BIGINT) % 89 = 0 THEN price + 1 ELSE price END AS price, volume, "timestamp", exchange
+  FROM trades WHERE CAST(trade_id AS BIGINT) % 97 <> 0
+  UNION ALL SELECT 'new-' || trade_id, symbol, price, volume, "timestamp", exchange FROM trades WHERE CAST(trade_id AS BIGINT) % 113 = 0
+  UNION ALL SELECT * FROM trades WHERE CAST(trade_id AS BIGINT) % 211 = 0 AND CAST(trade_id AS BIGINT) % 97 <> 0 AND CAST(trade_id AS BIGINT) % 89 <> 0)"""
+
+
+@query(
+    f"""WITH {reg.TRADES}, {_CHANGED},
+was AS (SELECT trade_id, list_sort(list((symbol, price, volume, "timestamp", exchange))) AS all_rows FROM trades GROUP BY trade_id),
+now AS (SELECT trade_id, list_sort(list((symbol, price, volume, "timestamp", exchange))) AS all_rows FROM changed GROUP BY trade_id)
+SELECT trade_id, CASE WHEN n.all_rows IS NULL THEN 'removed' WHEN w.all_rows IS NULL THEN 'added' ELSE 'changed' END AS difference
+FROM was w FULL JOIN now n USING (trade_id) WHERE w.all_rows IS DISTINCT FROM n.all_rows"""
+)
+def version_differences(spark, sf_dir):
+    """Keys that were removed, added or changed (a repeated row counts as a change) between two versions."""
+    trades, number = fx.trades(spark, sf_dir), F.try_to_number("trade_id", F.lit("999999999999"))
+    price = F.when(number % 89 == 0, F.col("price") + 1).otherwise(F.col("price"))
+    now = trades.filter(number % 97 != 0).withColumn("price", price)
+    now = now.unionByName(trades.filter(number % 113 == 0).withColumn("trade_id", F.concat(F.lit("new-"), "trade_id")))
+    now = now.unionByName(trades.filter((number % 211 == 0) & (number % 97 != 0) & (number % 89 != 0)))
+    return differences.locate(trades, now, ["trade_id"])

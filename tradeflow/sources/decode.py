@@ -112,6 +112,30 @@ def decode_bars(
     )
 
 
+def decode_bars_variant(
+    payloads: DataFrame, text: str = "payload", symbol: str = "symbol", interval: str = "5min"
+) -> DataFrame:
+    """The rows of ``decode_bars`` by the VARIANT type: each payload is parsed once, whatever its keys are called.
+
+    Payloads that don't parse, or whose series isn't an object, give no rows; a field that doesn't parse is NULL.
+    """
+    tvf = payloads.sparkSession.tvf
+    # The first series of a payload counts; a variant's own keys are sorted.
+    name = F.get(F.filter(F.json_object_keys(F.col(text)), lambda k: k.startswith(SERIES_PREFIX)), F.lit(0))
+    data = payloads.filter(payload_kind(F.col(text)) == "data")
+    parsed = data.select(F.col(symbol).alias("symbol"), name.alias("_name"), F.try_parse_json(F.col(text)).alias("_payload"))
+    sections = parsed.lateralJoin(tvf.variant_explode(F.col("_payload").outer()))
+    series = sections.filter(F.col("key") == F.col("_name")).select("symbol", F.col("value").alias("_series"))
+    each = series.lateralJoin(tvf.variant_explode(F.col("_series").outer())).select("symbol", F.col("key").alias("_at"), F.col("value").alias("_bar"))
+
+    def field(name: str, kind: str) -> Column:
+        # Text first: a number given as text parses like one given as a number.
+        return F.try_variant_get("_bar", f"$['{BAR_FIELDS[name]}']", "string").try_cast(kind).alias(name)
+
+    prices = [field(name, "double") for name in ("open", "high", "low", "close")]
+    return each.select("symbol", F.col("_at").try_cast("timestamp").alias("timestamp"), *prices, field("volume", "bigint"), F.lit(interval).alias("interval"))
+
+
 def bars_to_trades(bars: DataFrame) -> DataFrame:
     """Bars in trade shape: the close is the price, and the key is a digest of symbol and time."""
     return bars.select(
