@@ -95,26 +95,25 @@ _CUES = frozenset(
 @lru_cache(maxsize=200_000)
 def word_features(word: str) -> tuple[str, ...]:
     """Features of one word: shape with run lengths, shape without, digit counts, cue words and check sums."""
-    cut = word[:60]
     fine, coarse = [], []
-    for m in _RUNS.finditer(cut):
+    for m in _RUNS.finditer(word):
         kind = "XxdU"[m.lastindex - 1] if m.lastindex < 5 else m[0]
         fine.append(f"{kind}{min(len(m[0]), 20)}" if m.lastindex == 3 else kind)
         if not coarse or coarse[-1] != kind:
             coarse.append(kind)
-    digits = _digits(cut)
-    core = cut.lower().strip(".,;:!?()[]{}\"'<>")
+    digits = _digits(word)
+    core = word.lower().strip(".,;:!?()[]{}\"'<>")
     out = [f"f={''.join(fine)[:24]}", f"c={''.join(coarse)[:12]}", f"n={min(len(digits), 20)}"]
     if core in _CUES:
         out.append(f"w={core}")
-    if "@" in cut:
+    if "@" in word:
         out.append("at")
     if len(digits) >= 14:
         out.append(f"luhn={luhn(digits)}")
-    if cut.count(".") == 3 and len(digits) >= 4 and not re.search("[A-Za-z]", cut):
-        parts = cut.strip(".,;:!?()").split(".")
+    if word.count(".") == 3 and len(digits) >= 4 and not re.search("[A-Za-z]", word):
+        parts = word.strip(".,;:!?()").split(".")
         out.append(f"octets={all(p.isdigit() and len(p) < 4 and int(p) < 256 for p in parts)}")
-    if cut[:1] in "+(":
+    if word[:1] in "+(":
         out.append("open")
     return tuple(out)
 
@@ -122,7 +121,7 @@ def word_features(word: str) -> tuple[str, ...]:
 def sequence_features(words: list[str]) -> list[list[str]]:
     """Own features of every word, those of both neighbours, digits of the whole run of number-like words, cues before."""
     own = [word_features(w) for w in words]
-    numeric = [bool(_DIGIT.search(w)) and not re.search("[A-Za-z]{2}", w[:60]) for w in words]
+    numeric = [bool(_DIGIT.search(w)) and not re.search("[A-Za-z]{2}", w) for w in words]
     run_digits, run_luhn = [0] * len(words), [""] * len(words)
     k = 0
     while k < len(words):
@@ -130,7 +129,7 @@ def sequence_features(words: list[str]) -> list[list[str]]:
             stop = k
             while stop < len(words) and numeric[stop] and stop - k < 12:
                 stop += 1
-            digits = "".join(_digits(w[:60]) for w in words[k:stop])
+            digits = "".join(_digits(w) for w in words[k:stop])
             for j in range(k, stop):
                 run_digits[j], run_luhn[j] = min(len(digits), 24), f"{14 <= len(digits) <= 19 and luhn(digits)}"
             k = stop
@@ -362,6 +361,16 @@ def windows(text: str) -> list[list[tuple[int, int]]]:
     return out
 
 
+#: Characters up to which a word is taken as it is.
+LONG = 60
+_PIECE = re.compile(r"[+(]{0,2}[0-9][0-9().+/\-]{0,57}|(?:(?![+(]{0,2}[0-9]).){1,60}", re.S)
+
+
+def pieces(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """The places of a long word's numbers and of what stands between them; a word of up to ``LONG`` characters is one piece."""
+    return [(start, end)] if end - start <= LONG else [m.span() for m in _PIECE.finditer(text, start, end)]
+
+
 def _trim(text: str, start: int, end: int) -> tuple[int, int]:
     while start < end and not (text[start].isalnum() or text[start] in "+(["):
         start += 1
@@ -376,6 +385,7 @@ def added_spans(field: Field, texts: list[str], base: list[list[tuple[int, int,
     for k, text in enumerate(texts):
         if _TRIGGER.search(text):
             for window in windows(text):
+                window = [piece for a, b in window for piece in pieces(text, a, b)]
                 own.append(k)
                 places.append(window)
                 sequences.append([text[a:b] for a, b in window])
