@@ -40,6 +40,18 @@ def test_bound_on_training_rows(spark, docs_of):
     assert fm.train(docs, labels, max_rows=10).w.shape == (fm.N_SLOTS,)
 
 
+def test_bound_on_entries_keeps_whole_rows(spark, docs_of):
+    good, bad = texts(30)
+    long = " ".join(f"w{k}" for k in range(3_000))
+    docs, labels = docs_of(good + bad + [long]), spark.createDataFrame([(k, int(k < 30)) for k in range(46)], "doc_id long, label int")
+    whole = fm.train(docs, labels)
+    same = fm.train(docs, labels, max_entries=10**9)
+    assert (whole.w == same.w).all() and (fm.train(docs, labels, max_entries=40).w != whole.w).any()
+    learnt = {s for s in fm.describe(long)[0].tolist() if whole.w[s]}
+    assert len(learnt) > 0.9 * len(fm.describe(long)[0])
+    assert fm.train(docs, labels, max_entries=0).w.shape == (fm.N_SLOTS,)
+
+
 def test_awkward_rows_and_labels(spark, docs_of, awkward):
     docs = docs_of(awkward).withColumnRenamed("lang", "score")
     for labels in ([], [(3, 1)], [(3, None), (0, 0), (1, 1)]):

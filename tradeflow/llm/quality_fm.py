@@ -4,8 +4,8 @@ A document is a sparse vector ``x``: one entry for each distinct hashed word (we
 the text), and one for the bin that each structure or metadata statistic falls into. The model is
 ``w0 + w.x + sum_{i<j} <v_i, v_j> x_i x_j``; the pairwise sum costs linear time by
 ``0.5 * (|sum_i v_i x_i|^2 - sum_i |v_i|^2 x_i^2)``. It is fitted by AdaGrad on a bounded sample of labelled rows
-(``MAX_ROWS``, those with the smallest hashes of their ids), which only leave the executors as feature vectors
-of at most ``MAX_WORDS`` word entries; scores use all words of whole texts.
+(``MAX_ROWS`` rows and ``MAX_ENTRIES`` feature entries, those with the smallest hashes of their ids), which only leave the
+executors as feature vectors of whole texts.
 
 Defined cases: a null or empty text has statistics only (all in their lowest bins) and gets a score like any
 other; rows with a null label are no training rows; without training rows, or with one class only, every score
@@ -23,13 +23,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradeflow.llm.chosen_path import stored
 from tradeflow.llm.text import map_texts, slices
 
 #: Hashed word slots, and bins of each statistic.
 WORD_SLOTS, BINS = 1 << 15, 16
 RANK = 8
-#: Bound on labelled rows the classifier is fitted on, and on word entries of each of those rows.
-MAX_ROWS, MAX_WORDS = 8_000, 400
+#: Bounds of the labelled sample the classifier is fitted on: its rows, and their feature entries together. Rows are whole.
+MAX_ROWS, MAX_ENTRIES = 8_000, 3_000_000
 #: Small tables are gone through more often, until so many steps are done.
 EPOCHS, MIN_STEPS, BATCH, RATE, DECAY = 8, 400, 256, 0.1, 1e-5
 
@@ -150,28 +151,25 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, seed: int = 7)
     return machine
 
 
-def _bounded(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Features of a training row: all statistics and the ``MAX_WORDS`` words of most weight."""
-    slots, values = describe(text)
-    words = len(slots) - len(STATISTICS)
-    if words > MAX_WORDS:
-        top = np.sort(np.argsort(-values[:words], kind="stable")[:MAX_WORDS])
-        keep = np.concatenate([top, np.arange(words, len(slots))])
-        slots, values = slots[keep], values[keep]
-    return slots, values
-
-
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Machine:
-    """Machine from ``docs(doc_id, text)`` joined with ``labels(doc_id, label)``, at most ``max_rows`` of them."""
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_entries: int = MAX_ENTRIES) -> Machine:
+    """Machine from ``docs(doc_id, text)`` joined with ``labels(doc_id, label)``: whole texts, in the order of their ids' hash
+    at most ``max_rows`` rows and ``max_entries`` feature entries (and one row at least)."""
     wanted = labels.select("doc_id", "label").filter("label IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(max_rows)
     rows = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id")
 
     def work(part: pd.DataFrame) -> pd.DataFrame:
-        found = [_bounded(t) for t in part["text"]]
+        found = [describe(t) for t in part["text"]]
         return pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "label": part["label"].to_numpy(), "slots": [s.tolist() for s, _ in found], "values": [v.astype(np.float32).tolist() for _, v in found]})
 
     kinds = {c: rows.schema[c].dataType.simpleString() for c in ("doc_id", "label")}
-    sample = map_texts(rows, work, f"doc_id {kinds['doc_id']}, label {kinds['label']}, slots array<int>, values array<float>").toPandas()
+    described = stored(map_texts(rows, work, f"doc_id {kinds['doc_id']}, label {kinds['label']}, slots array<int>, values array<float>"), "quality-sample")
+    order, size = F.xxhash64("doc_id"), F.size("slots")
+    # Distinct sizes in order, of max_rows ids at most (more only where ids repeat): up to where do the entries fit?
+    sizes = described.groupBy(order.alias("h")).agg(F.sum(size).alias("n")).orderBy("h").limit(max_rows).collect()
+    total = np.cumsum([r["n"] for r in sizes])
+    fits = max(1, int(np.searchsorted(total, max_entries, side="right")))
+    last = sizes[min(fits, len(sizes)) - 1]["h"] if sizes else 0
+    sample = described.filter(order <= last).toPandas()
     sample = sample.assign(_h=[zlib.crc32(f"{a}|{b}".encode()) for a, b in zip(sample["doc_id"], sample["label"], strict=True)])
     sample = sample.sort_values(["_h", "doc_id", "label"], kind="stable")
     vectors = [(np.asarray(s, np.int64), np.asarray(v, float)) for s, v in zip(sample["slots"], sample["values"], strict=True)]
