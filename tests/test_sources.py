@@ -74,3 +74,36 @@ def test_batch_sinks(spark, tmp_path, trades):
     assert spark.read.csv(str(tmp_path / "csv"), header=True).count() == 5
     with pytest.raises(ValueError):
         sinks.write_table(trades)
+
+
+def test_zorder_skips_files_for_either_column(spark, tmp_path):
+    """Of 64 files, a filter on one symbol and a filter on a tenth of the time each leave few to read."""
+    import pyarrow.parquet as pq
+
+    rows = spark.range(40_000).select(
+        F.concat(F.lit("S"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.pmod(F.hash("id"), F.lit(40)))).alias("symbol"),
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.pmod(F.xxhash64("id"), F.lit(1_000_000))).alias("timestamp"), F.col("id").alias("row"),
+    )
+    read = {}
+    for name, laid in (("z", sinks.zorder_layout(rows, partitions=64)), ("line", sinks.cluster_layout(rows, partitions=64))):
+        assert laid.columns == rows.columns
+        laid.write.parquet(str(tmp_path / name))
+        stats = []
+        for file in sorted((tmp_path / name).glob("part-*")):
+            meta = pq.ParquetFile(file).metadata
+            for g in range(meta.num_row_groups):
+                columns = {meta.row_group(g).column(k).path_in_schema: meta.row_group(g).column(k).statistics for k in range(2)}
+                stats.append((columns["symbol"].min, columns["symbol"].max))
+        symbol = sum(a <= "S7" <= b for a, b in stats) / len(stats)
+        spans = spark.read.parquet(str(tmp_path / name)).groupBy(F.input_file_name()).agg(F.min("timestamp").alias("a"), F.max("timestamp").alias("b")).collect()
+        low, high = 1_700_000_000 + 500_000, 1_700_000_000 + 600_000
+        time = sum(r.a.timestamp() <= high and low <= r.b.timestamp() for r in spans) / len(spans)
+        read[name] = (symbol, time)
+    assert spark.read.parquet(str(tmp_path / "z")).exceptAll(rows).isEmpty() and spark.read.parquet(str(tmp_path / "z")).count() == 40_000
+    assert read["z"][0] < 0.3 and read["z"][1] < 0.4 < read["line"][1]
+
+
+def test_zorder_of_missing_values_and_empty_tables(spark):
+    rows = spark.createDataFrame([(None, 1.0), ("a", None), (None, None), ("b", float("nan"))], "symbol string, price double")
+    assert sinks.zorder_layout(rows, "symbol", "price", partitions=2).count() == 4
+    assert sinks.zorder_layout(rows.limit(0), "symbol", "price").count() == 0

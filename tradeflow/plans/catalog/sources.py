@@ -153,3 +153,13 @@ def ingest_metadata(spark, sf_dir):
     return rows.agg(
         F.count("*").alias("rows"), F.bool_and(within).alias("stamped_in_the_run"), F.bool_and(F.col("_source_file").contains("/arrivals-")).alias("file_named")
     )
+
+
+@query(f"""WITH {reg.TRADES} SELECT * FROM trades WHERE symbol = 'CLICK' OR "timestamp" >= (SELECT max(ts) FROM events) - INTERVAL 3 DAY""")
+def zorder_rows(spark, sf_dir):
+    """Trades of one symbol or of the last days, read back from files laid out along a z-curve."""
+    folder, trades = fresh_path(spark, "zorder"), fx.trades(spark, sf_dir)
+    sinks.zorder_layout(trades, partitions=16).write.parquet(folder)
+    newest = trades.agg(F.max("timestamp")).first()[0]
+    stored = spark.read.schema(trades.schema).parquet(folder)
+    return stored.filter((F.col("symbol") == "CLICK") | (F.col("timestamp") >= F.lit(newest) - F.expr("INTERVAL 3 DAYS")))
