@@ -113,3 +113,63 @@ def test_gold_batch_can_be_repeated(spark, tmp_path):
     assert gold.output(spark).count() == before
     gold.flush(spark)
     assert gold.output(spark).count() == 20
+
+
+def _row_stream(spark, folder, rows):
+    from tradeflow.sources.row_stream import RowStream
+
+    spark.dataSource.register(RowStream)
+    return spark.readStream.format("parquet_rows").schema("id long, name string").option("path", str(folder)).option("rows", rows).load()
+
+
+def _file(spark, folder, name, ids):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    folder.mkdir(exist_ok=True)
+    pq.write_table(pa.table({"name": [f"n{i}" for i in ids], "id": pa.array(ids, pa.int64()), "other": [0.5] * len(ids)}), folder / name, row_group_size=70)
+
+
+def test_batches_bounded_by_rows_survive_a_restart(spark, tmp_path):
+    """No batch is above the bound, and stops between and inside batches lose and repeat nothing."""
+    source, seen = tmp_path / "in", []
+    _file(spark, source, "a.parquet", range(250))
+    _file(spark, source, "b.parquet", range(250, 253))
+    _file(spark, source, "c.parquet", range(253, 700))
+    (source / "_SUCCESS").write_text("")
+    fail = [3]
+
+    def on_batch(batch, number):
+        rows = sorted(r.id for r in batch.collect())
+        if number in fail:
+            fail.remove(number)
+            raise RuntimeError("stopped inside a batch")
+        seen.append((number, rows))
+
+    def run():
+        writer = _row_stream(spark, source, 100).writeStream.foreachBatch(on_batch).option("checkpointLocation", str(tmp_path / "ck"))
+        return writer.trigger(processingTime="0 seconds").start()
+
+    query = run()
+    try:
+        query.awaitTermination(60)
+    except Exception as error:  # noqa: BLE001  the planned stop
+        assert "stopped inside a batch" in str(error)
+    assert [n for n, _ in seen] == [0, 1, 2]
+    _file(spark, source, "d.parquet", range(700, 812))
+    query = run()
+    for _ in range(240):
+        if seen and seen[-1][1][-1] == 811:
+            break
+        query.awaitTermination(0.5)
+    query.stop()
+    assert [i for _, rows in seen for i in rows] == list(range(812))
+    assert max(len(rows) for _, rows in seen) == 100 and [n for n, _ in seen] == list(range(9))
+
+
+def test_row_stream_of_an_empty_folder(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    query = _row_stream(spark, tmp_path / "in", 10).writeStream.format("memory").queryName("no_rows").option("checkpointLocation", str(tmp_path / "ck")).start()
+    query.awaitTermination(3)
+    query.stop()
+    assert spark.table("no_rows").count() == 0

@@ -13,6 +13,7 @@ from tradeflow.plans.catalog.silver import SILVER
 from tradeflow.plans.catalog.sources import _BARS, _MAPPED
 from tradeflow.session import fresh_path
 from tradeflow.sources.readers import read_files
+from tradeflow.sources.row_stream import RowStream
 from tradeflow.streaming import pipeline
 from tradeflow.streaming.gold import GoldStream
 
@@ -115,3 +116,26 @@ def stream_gold(spark, sf_dir):
     gold.flush(spark)
     rows = gold.output(spark).select("trade_id", "symbol", *reg.FEATURE_COLUMNS, "trade_intensity_1m")
     return rounded(rows, *reg.FEATURE_COLUMNS)
+
+
+BATCH_ROWS = 2_500
+
+
+@query(
+    f"""WITH n AS (SELECT count(*) AS n, sum(event_id) AS ids FROM events)
+SELECT k AS batch_id, CAST(least({BATCH_ROWS}, n - k * {BATCH_ROWS}) AS BIGINT) AS rows, CAST(ids AS BIGINT) AS all_ids
+FROM n, unnest(range(0, CAST(ceil(n / {BATCH_ROWS}.0) AS BIGINT))) b(k)"""
+)
+def stream_row_batches(spark, sf_dir):
+    """The events as micro-batches of a bounded number of rows, across files."""
+    folder = fresh_path(spark, "row-batches")
+    events = fx.table(spark, sf_dir, "events").select("event_id", "value")
+    events.repartition(3).write.parquet(f"{folder}/in")
+    spark.dataSource.register(RowStream)
+    stream = spark.readStream.format("parquet_rows").schema(events.schema).option("path", f"{folder}/in").option("rows", BATCH_ROWS).load()
+    query = pipeline.start_batches(stream, lambda batch, number: batch.write.mode("overwrite").parquet(f"{folder}/out/batch={number}"), f"{folder}/ck", "0 seconds")
+    query.processAllAvailable()
+    query.stop()
+    rows = spark.read.parquet(f"{folder}/out").groupBy(F.col("batch").cast("bigint").alias("batch_id")).agg(F.count("*").alias("rows"), F.sum("event_id").alias("ids"))
+    total = rows.agg(F.sum("ids")).first()[0]
+    return rows.select("batch_id", "rows", F.lit(total).cast("bigint").alias("all_ids"))
