@@ -80,3 +80,23 @@ def test_damaged_archives_are_refused():
 def test_short_dates_are_filled_up(spark):
     df = spark.createDataFrame([("2001",), ("20010203040506",), ("200102",)], "d string")
     assert [r.x for r in df.select(aw._warc_date(F.col("d")).alias("x")).collect()] == ["2001-01-01T00:00:00Z", "2001-02-03T04:05:06Z", "2001-02-01T00:00:00Z"]
+
+
+def test_payloads_in_other_encodings_round_trip(spark, tmp_path):
+    """Records written by other tools: Latin-1 bodies with and without an HTTP header, and a binary one."""
+    bodies = ["caf\u00e9 \u00fcber".encode("latin-1"), bytes(range(256)) * 3, "plain".encode(), "caf\u00e9 \u00fcber".encode("latin-1")]
+    records = []
+    for k, body in enumerate(bodies):
+        head = b"" if k == 2 else b"HTTP/1.1 200 OK\r\nX-Page-Id: %d\r\nContent-Length: %d\r\n\r\n" % (k, len(body))
+        block = head + body
+        records.append(b"http://x.example/%d 127.0.0.1 19961104142103 text/html %d\n%s\n" % (k, len(block), block))
+    opening = b"1 0 org\nURL IP-address Archive-date Content-type Archive-length\n"
+    folder = tmp_path / "arc"
+    folder.mkdir()
+    (folder / "part-0.arc").write_bytes(b"filedesc://x.arc 0.0.0.0 19960923142103 text/plain %d\n%s\n" % (len(opening), opening) + b"".join(records))
+    warc = aw.write_warc(aw.parse_arc(spark, str(folder)))
+    got = {r.url[-1]: r for r in aw.read_warc(spark, warc).collect()}
+    assert len(got) == 4
+    for k, body in enumerate(bodies):
+        assert (got[str(k)].payload_bytes, got[str(k)].payload_digest) == (len(body), base64.b32encode(hashlib.sha1(body).digest()).decode())
+    assert (got["3"].record_type, got["3"].refers_to) == ("revisit", 0)

@@ -8,7 +8,8 @@ number of bytes, and a line break; bytes are never searched for record borders.
 and payload digests; records whose payload an earlier one (smallest key) already holds become ``revisit``.
 
 Files are written by Spark's text sink below the session's shared folder, gzip-compressed, and read back as
-binary files of bounded size, so both sides run on any store that Spark reaches.
+binary files, so both sides run on any store that Spark reaches. Payloads travel as bytes, whatever their encoding is. A file
+holds ``FILE_RECORDS`` records, which a task has in memory together.
 
 Defined cases: a null payload is empty; blanks and control characters in a URL are percent-encoded and a null
 URL is ``about:blank``; rows with a null key are kept, sort last and never lend their key to others; of repeated
@@ -146,7 +147,7 @@ def _binary(spark, folder: str, pattern: str) -> DataFrame:
 
 
 def parse_arc(spark, folder: str) -> DataFrame:
-    """``page_id, url, date, mime, head, payload, payload_digest`` of all ARC records below ``folder``."""
+    """``page_id, url, date, mime, head, payload, payload_digest`` of all ARC records below ``folder``; head and payload are bytes."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -154,11 +155,11 @@ def parse_arc(spark, folder: str) -> DataFrame:
                 rows = []
                 for record in arc_records(_inflate(content)):
                     head, body = _http(record["block"])
-                    rows.append((_key(head), urllib.parse.quote(record["url"], safe=":/?#[]@!$&'()*+,;=%~-._"), record["date"], record["mime"], head.decode("utf-8", "replace"), body.decode("utf-8", "replace"), base32_sha1(body), len(body)))
+                    rows.append((_key(head), urllib.parse.quote(record["url"], safe=":/?#[]@!$&'()*+,;=%~-._"), record["date"], record["mime"], head, body, base32_sha1(body), len(body)))
                 out = pd.DataFrame(rows, columns=["page_id", "url", "date", "mime", "head", "payload", "payload_digest", "payload_bytes"])
                 yield out.astype({"page_id": "Int64", "payload_bytes": "int64"})
 
-    schema = "page_id long, url string, date string, mime string, head string, payload string, payload_digest string, payload_bytes long"
+    schema = "page_id long, url string, date string, mime string, head binary, payload binary, payload_digest string, payload_bytes long"
     return _binary(spark, folder, "part-*").mapInPandas(run, schema)
 
 
@@ -200,12 +201,13 @@ def write_warc(records: DataFrame, min_bytes: int = 0, label: str = "warc") -> s
         ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), "payload_digest")),
         ("WARC-Profile", F.when(revisit, "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
         ("WARC-Refers-To-Page", F.col("first").cast("string")),
-        ("Content-Type", F.when(F.col("head") != "", "application/http; msgtype=response").otherwise(F.col("mime"))),
+        ("Content-Type", F.when(F.octet_length("head") > 0, "application/http; msgtype=response").otherwise(F.col("mime"))),
         ("Content-Length", F.octet_length("block").cast("string")),
     ]
     lines = F.concat_ws("\r\n", F.lit("WARC/1.1"), *[F.when(v.isNotNull(), F.concat(F.lit(f"{k}: "), v)) for k, v in fields])
     folder = fresh_path(spark, label)
-    _write_files(rows.select(F.concat(lines, F.lit("\r\n\r\n"), "block").alias("value")), folder, "\r\n\r\n")
+    # The cast keeps bytes as they are, also those that are no UTF-8, and so does the text sink.
+    _write_files(rows.select(F.concat(lines, F.lit("\r\n\r\n"), F.col("block").cast("string")).alias("value")), folder, "\r\n\r\n")
     return folder
 
 
@@ -239,7 +241,8 @@ def read_warc(spark, folder: str) -> DataFrame:
                 for head, block in warc_records(_inflate(content)):
                     http, body = _http(block)
                     digest = head["warc-payload-digest"].removeprefix("sha1:")
-                    size = int(re.search(rb"\r\nContent-Length: (\d+)\r\n", http)[1])
+                    said = re.search(rb"\r\nContent-Length: (\d+)\r\n", http, re.I)
+                    size = int(said[1]) if said else len(body)
                     if head["warc-type"] == "response" and (base32_sha1(body) != digest or len(body) != size):
                         raise ValueError(f"payload of {head['warc-record-id']} does not match its digest")
                     refers = head.get("warc-refers-to-page")
