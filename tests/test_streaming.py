@@ -173,3 +173,38 @@ def test_row_stream_of_an_empty_folder(spark, tmp_path):
     query.awaitTermination(3)
     query.stop()
     assert spark.table("no_rows").count() == 0
+
+
+def test_keyed_gold_over_restarts_and_late_trades(spark, tmp_path):
+    """Rows of all batches equal the batch operator's; a trade behind the watermark is left out; only symbols with trades are touched."""
+    import datetime as dt
+
+    import numpy as np
+
+    from tradeflow.operators.features import FEATURES, rolling_features
+    from tradeflow.streaming.keyed_gold import KeyedGoldStream
+
+    rng, start = np.random.default_rng(5), dt.datetime(2026, 4, 1, 9)
+    rows = [(f"t{k}", "ABC"[rng.integers(3)] if k < 120 else "A", float(100 + rng.normal()), float(rng.integers(1, 90)), start + dt.timedelta(seconds=20 * k + int(rng.integers(0, 60))), "US", "regular") for k in range(240)]
+    late = ("late", "B", 1.0, 1.0, start, "US", "regular")
+    schema = "trade_id string, symbol string, price double, volume double, timestamp timestamp, exchange string, session_type string"
+    parts = [rows[:80], rows[80:160], [late, *rows[160:200]], rows[200:]]
+    gold, source = KeyedGoldStream(str(tmp_path / "gold")), str(tmp_path / "in")
+    for run in (parts[:2], parts[2:]):
+        for part in run:
+            spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(source)
+            stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+            query = gold.start(stream)
+            query.awaitTermination()
+            assert query.exception() is None
+    gold.flush(spark)
+    names = ["trade_id", *(f for f in FEATURES if f in gold.output(spark).columns)]
+    found = {r.trade_id: tuple(r)[1:] for r in gold.output(spark).select(*names).collect()}
+    expected = {r.trade_id: tuple(r)[1:] for r in rolling_features(spark.createDataFrame(rows, schema)).select(*names).collect()}
+    assert found.keys() == expected.keys() and len(names) > 5
+    for trade, values in expected.items():
+        assert found[trade] == pytest.approx(values, rel=1e-9, abs=1e-9, nan_ok=True)
+    batches = gold.output(spark).sparkSession.read.parquet(str(tmp_path / "gold/features"))
+    last = batches.filter("batch = 'last'").select("symbol").distinct().collect()
+    assert [r.symbol for r in last] == ["A"]
+    assert not (tmp_path / "gold/state").exists()

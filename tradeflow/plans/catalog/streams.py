@@ -16,6 +16,7 @@ from tradeflow.sources.readers import read_files
 from tradeflow.sources.row_stream import RowStream
 from tradeflow.streaming import pipeline
 from tradeflow.streaming.gold import GoldStream
+from tradeflow.streaming.keyed_gold import KeyedGoldStream
 
 
 def _events(spark, sf_dir):
@@ -118,6 +119,16 @@ def stream_gold(spark, sf_dir):
     return rounded(rows, *reg.FEATURE_COLUMNS)
 
 
+@query(f"WITH {reg.TRADES}, {reg.feature_steps('trades')} SELECT trade_id, symbol, {reg.SQL_FEATURES} FROM features")
+def stream_gold_keyed(spark, sf_dir):
+    """Four micro-batches with each symbol's history in Spark's state; timers hand on what the watermark has passed."""
+    gold = KeyedGoldStream(fresh_path(spark, "gold-keyed"))
+    gold.start(fx.trades_from_events(_events_in_files(spark, sf_dir, late=False))).awaitTermination()
+    gold.flush(spark)
+    rows = gold.output(spark).select("trade_id", "symbol", *reg.FEATURE_COLUMNS, "trade_intensity_1m")
+    return rounded(rows, *reg.FEATURE_COLUMNS)
+
+
 BATCH_ROWS = 2_500
 
 
