@@ -40,7 +40,7 @@ def test_stages_take_awkward_rows(spark, docs_of, awkward, tmp_path):
 
 def test_registered_queries_and_absence_of_the_subpackage(monkeypatch):
     names = entry.queries()
-    assert {f"op{n}_" for n in range(1, 11)} == {x.split("_")[0] + "_" for x in names if x.startswith("op")} and "pipeline" in names
+    assert {f"op{n}_" for n in range(1, 14)} == {x.split("_")[0] + "_" for x in names if x.startswith("op")} and "pipeline" in names
     monkeypatch.setitem(sys.modules, "tradeflow.llm", None)
     less = entry.queries()
     assert "gold_features" in less and not any(x.startswith("op") or x == "pipeline" for x in less)
