@@ -186,3 +186,18 @@ def test_ordinal_codes(spark, rows_per_block):
     new = spark.createDataFrame([("a",), ("zz",), (None,)], "c string")
     coded = {r.c: r.c_code for r in lb.encode_ordinal(new, codes, ["c"]).collect()}
     assert coded == {"a": 0, "zz": -1, None: -1}
+
+
+def test_clock_frames_get_tasks_as_their_tape_grows(spark, monkeypatch):
+    """Four lines a trade: the tape's tasks follow the number of lines, not the session's fixed number of partitions."""
+    from tradeflow.operators import timerange
+
+    df = spark.range(200).selectExpr(
+        "cast(id as string) AS trade_id", "concat('S', id % 3) AS symbol", "double(id % 11) AS price", "timestamp_seconds(1700000000 + id * 30) AS timestamp"
+    )
+    whole = {r.trade_id: (r.volatility_1h, r.intensity_1m) for r in timerange.time_range_features(df).collect()}
+    monkeypatch.setattr(timerange, "LINES", 40)
+    found = timerange.time_range_features(df)
+    assert found.rdd.getNumPartitions() == 20
+    got = {r.trade_id: (r.volatility_1h, r.intensity_1m) for r in found.collect()}
+    assert got.keys() == whole.keys() and all(got[k] == pytest.approx(whole[k], abs=1e-9) for k in got)

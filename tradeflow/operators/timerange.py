@@ -4,7 +4,8 @@ A clock frame holds any number of rows, and a sliding range frame would be summe
 are therefore differences of running sums: each trade asks for the sums at its own time and at the start of
 each frame, and those questions are sorted in among the trades. Time is cut into buckets as long as the longest
 frame, so a frame touches two buckets at most, and large buckets are cut into blocks: even one busy second
-spreads over several tasks. The work grows with the number of trades for every size and skew.
+spreads over several tasks. The work grows with the number of trades for every size and skew; the number of tasks
+grows with it, so a task sorts about ``LINES`` lines of the tape however many there are.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 
 from tradeflow.operators.blocks import BLOCK, Blocks, assign_blocks, fit_blocks, match_keys, preceding_totals
 
+#: Lines of the sorted tape in a task (a trade has four), and the most in a block.
+LINES = 500_000
 _KEYS = ["symbol", "_bucket"]
 # Trades, trades with a price, and the sums of their prices and squares.
 _SUMS = ["n", "m", "x", "xx"]
@@ -66,9 +69,10 @@ def _by_running_sums(trades: DataFrame, spans: dict[str, int], length: int, rows
     entries += [entry(0, name, at - span, False) for name, span in spans.items()]
     tape = rows.select("symbol", "trade_id", F.inline(F.array(*entries)))
 
-    blocks = fit_blocks(tape, _KEYS, ["_at", "_side", "trade_id"], rows_per_block)
+    blocks = fit_blocks(tape, _KEYS, ["_at", "_side", "trade_id"], rows_per_block, most=LINES)
+    parts = -(-blocks.rows // LINES)
     placed = assign_blocks(tape, blocks)
-    answers = _running(placed, blocks).filter(F.col("_role") != "trade")
+    answers = _spread(_running(placed, blocks, parts).filter(F.col("_role") != "trade"), parts, ["symbol", "trade_id"])
 
     # Back to one row per trade. A frame start in the bucket before counts what follows it there.
     def of(role: str, name: str) -> Column:
@@ -96,11 +100,17 @@ def _by_running_sums(trades: DataFrame, spans: dict[str, int], length: int, rows
     )
 
 
-def _running(placed: DataFrame, blocks: Blocks) -> DataFrame:
+def _spread(df: DataFrame, parts: int, keys: list[str]) -> DataFrame:
+    """Rows dealt by ``keys`` over as many tasks as their number asks for; few rows go as the session has it."""
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, *keys) if parts > usual else df
+
+
+def _running(placed: DataFrame, blocks: Blocks, parts: int) -> DataFrame:
     """Sums up to each line of its group (``n, x, xx``) and of the whole group (``all_*``)."""
     upto = blocks.window().rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*blocks.partition)
-    summed = placed.select(
+    summed = _spread(placed, parts, blocks.partition).select(
         *[c for c in placed.columns if c not in _SUMS],
         *[F.sum(s).over(upto).alias(s) for s in _SUMS],
         *[F.sum(s).over(whole).alias(f"all_{s}") for s in _SUMS],
