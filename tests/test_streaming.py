@@ -208,3 +208,19 @@ def test_keyed_gold_over_restarts_and_late_trades(spark, tmp_path):
     last = batches.filter("batch = 'last'").select("symbol").distinct().collect()
     assert [r.symbol for r in last] == ["A"]
     assert not (tmp_path / "gold/state").exists()
+
+
+def test_a_trigger_takes_several_bounded_batches(spark, tmp_path):
+    """A backlog costs a trigger for every ``batches`` batches; rows are numbered by batch over all files."""
+    from tradeflow.sources.row_stream import RowStream
+
+    spark.range(0, 95, 1, 3).write.option("parquet.block.size", 64).parquet(str(tmp_path / "in"))
+    spark.dataSource.register(RowStream)
+    stream = spark.readStream.format("parquet_rows").schema("id long, batch long").option("path", str(tmp_path / "in")).option("rows", 10).option("batches", 4).option("number", "batch").load()
+    triggers = []
+    query = stream.writeStream.foreachBatch(lambda df, _: triggers.append([tuple(r) for r in df.collect()])).option("checkpointLocation", str(tmp_path / "ck")).start()
+    query.processAllAvailable()
+    query.stop()
+    assert [len(t) for t in triggers] == [40, 40, 15]
+    numbers = [b for t in triggers for _, b in t]
+    assert [numbers.count(k) for k in range(10)] == [10] * 9 + [5] and sorted(i for t in triggers for i, _ in t) == list(range(95))
