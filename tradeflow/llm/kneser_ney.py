@@ -9,7 +9,7 @@ frequent n-grams in memory, and a text's other ones are joined with the tables,
 A text's language has the lowest cross-entropy per character.
 
 Rejection: ``accepted`` is false where the entropy margin over the runner-up is below the one at which
-training texts reach ``PRECISION``, so it is calibrated on training rows alone. ``lang_pred`` stays the best
+training texts reach ``PRECISION``, so it is calibrated on all training rows and on them alone. ``lang_pred`` stays the best
 language; it is ``und`` only for texts without any letter.
 
 Defined cases: null text, no letter, or no training row at all: ``und`` with score 0; ties go to the
@@ -24,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeflow.llm.chosen_path import stored
@@ -38,8 +38,8 @@ MAX_GRAMS = 2_000_000
 MIN_COUNT = 1
 #: Share of accepted training texts that must be right.
 PRECISION = 0.995
-#: Texts of the rejection's calibration, those with the smallest hashes of their ids.
-CALIBRATION_ROWS = 4_000
+#: Cells of margins that the calibration sums apart.
+CELLS = 64
 _BLANK = 32
 
 
@@ -260,22 +260,28 @@ def train(rows: DataFrame, order: int = ORDER, max_grams: int = MAX_GRAMS, min_c
     return _smooth(sorted(counts), counts, order)
 
 
-def calibrate(model: LanguageModel | StoredModel | None, rows: DataFrame, limit: int = CALIBRATION_ROWS, precision: float = PRECISION) -> LanguageModel | StoredModel | None:
-    """Sets the smallest entropy margin above which at least ``precision`` of a bounded sample of training rows are right."""
+def calibrate(model: LanguageModel | StoredModel | None, rows: DataFrame, precision: float = PRECISION) -> LanguageModel | StoredModel | None:
+    """Sets the smallest entropy margin from which on at least ``precision`` of all training rows are right; equal margins count together."""
     if model is None or len(model.languages) < 2:
         return model
     labelled = rows.filter("lang IS NOT NULL AND text IS NOT NULL")
-    # Ids are picked before any text is read, so that no task gathers the candidates' texts.
-    picked = labelled.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).distinct()
-    sample = labelled.select("doc_id", "lang", "text").join(F.broadcast(picked), "doc_id", "left_semi")
     # The language rides along in the id, so one pass gives both.
-    tagged = identify(sample.select(F.col("lang").alias("doc_id"), "text"), model)
-    found = tagged.filter("lang_pred != 'und'").select("margin", (F.col("lang_pred") == F.col("doc_id")).alias("right")).toPandas()
-    margin, right = found["margin"].to_numpy(float), found["right"].to_numpy(bool)
-    at = np.argsort(-margin)
-    share = np.cumsum(right[at]) / np.arange(1, len(at) + 1)
-    good = np.flatnonzero(share >= precision)
-    model.margin = float(margin[at][good[-1]]) if len(good) else float("inf")
+    tagged = identify(labelled.select(F.col("lang").alias("doc_id"), "text"), model)
+    found = tagged.filter("lang_pred != 'und'").groupBy("margin").agg(F.count("*").alias("n"), F.count_if(F.col("lang_pred") == F.col("doc_id")).alias("right"))
+    margins = stored(found, "kn-margins")
+    # Margins are summed downwards within cells, from what lies in the cells above.
+    edges = sorted(set(margins.approxQuantile("margin", [k / CELLS for k in range(1, CELLS)], 0.25 / CELLS)))
+    cell = F.size(F.filter(F.array(*map(F.lit, edges)), lambda x: x <= F.col("margin"))) if edges else F.lit(0)
+    celled = margins.withColumn("cell", cell)
+    above, sums = [], (0, 0)
+    for r in celled.groupBy("cell").agg(F.sum("n").alias("n"), F.sum("right").alias("right")).orderBy(F.desc("cell")).collect():  # at most CELLS rows
+        above.append((r["cell"], *sums))
+        sums = sums[0] + r["n"], sums[1] + r["right"]
+    before = F.broadcast(rows.sparkSession.createDataFrame(above, "cell int, above_n long, above_right long"))
+    down = Window.partitionBy("cell").orderBy(F.desc("margin"))
+    share = (F.col("above_right") + F.sum("right").over(down)) / (F.col("above_n") + F.sum("n").over(down))
+    least = celled.join(before, "cell").withColumn("share", share).filter(F.col("share") >= precision).agg(F.min("margin")).first()[0]
+    model.margin = float("inf") if least is None else float(least)
     return model
 
 
