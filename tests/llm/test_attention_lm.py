@@ -142,3 +142,72 @@ def test_held_out_texts_score_above_the_unigram_base(spark, docs_of):
     rows = lm.score_documents(docs, PATH, PATTERN, steps=120).filter("NOT train").collect()
     assert sum(r.score for r in rows) > 0.9 * sum(r.base_score for r in rows)
     assert all(r.score >= r.base_score - math.log10(2) - 1e-9 for r in rows)
+
+
+def test_all_training_texts_shape_the_model(docs_of):
+    """The same words in another order, in texts beyond any fixed number of them, change what a text's order is worth."""
+    from pyspark.sql import functions as F
+
+    forward, seen = "alpha beta gamma delta " * 5, "red green blue"
+    rows = {}
+    for name, rest in (("same", forward), ("reversed", " ".join(reversed(forward.split())))):
+        docs = docs_of([forward, *[seen] * 4_000, *[rest] * 40])
+        # The texts in question come last in the order of hashed ids.
+        order = docs.select("doc_id").orderBy(F.xxhash64("doc_id").desc()).limit(41).collect()
+        last = [r.doc_id for r in order]
+        text = F.when(F.col("doc_id") == last[0], forward).when(F.col("doc_id").isin(last[1:]), rest).otherwise(seen)
+        docs = docs.withColumn("text", text).withColumn("train", F.col("doc_id") != last[0])
+        rows[name] = lm.score_documents(docs, PATH, PATTERN, steps=60).filter("NOT train").first()
+    assert rows["same"].base_score == pytest.approx(rows["reversed"].base_score)
+    assert rows["same"].score > rows["reversed"].score + 1
+
+
+def test_scores_are_the_same_for_any_partitioning(docs_of, spark):
+    from pyspark.sql import functions as F
+
+    texts = [f"the {w} cat sat on the {w} mat {i}" for i, w in enumerate(["red", "blue", "old"] * 60)]
+    docs = docs_of(texts).withColumn("train", F.col("doc_id") % 4 != 0)
+    scores = []
+    for width in ("1", "7"):
+        before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1g" if width == "1" else "1k")
+        try:
+            found = lm.score_documents(docs.repartition(int(width)), PATH, PATTERN, segment_bytes=1_000, segment_growth=1, steps=10)
+            scores.append({r.doc_id: (r.base_score, r.score) for r in found.collect()})
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert scores[0] == scores[1]
+
+
+def test_counts_over_pieces_equal_those_of_one_run_of_texts(docs_of, spark):
+    from pyspark.sql import functions as F
+
+    texts = [f"the {w} cat sat on the {w} mat {i % 7}" for i, w in enumerate(["red", "blue", "old"] * 30)]
+    docs = docs_of(texts).withColumn("train", F.col("doc_id") % 4 != 0)
+    ranks = spark.sparkContext.broadcast(RANKS)
+    stored = lm.word_counts(lm._dealt(docs, 5), 5, ranks, PATTERN).filter("kind = 3").cache()
+    ids = [np.array(sequence(t)) for i, t in enumerate(texts) if i % 4 != 0]
+    counts = np.bincount(np.concatenate(ids), minlength=END + 1)
+    symbols, group = lm.Symbols.of(counts, END), np.arange(END + 1) % lm.CLASSES
+
+    def neighbours(total, own, _):
+        total += symbols.neighbours(own.training())
+
+    def preferences(total, own, _):
+        total += symbols.preferences(own.training(), group)
+
+    size = 2 * len(symbols.top) * symbols.near
+    assert (lm._over_pieces(stored, END, size, neighbours) == sum(symbols.neighbours(x) for x in ids)).all()
+    size = (lm.OWN_SYMBOLS + lm.SHARED + 1) * lm.CLASSES
+    assert (lm._over_pieces(stored, END, size, preferences) == sum(symbols.preferences(x, group) for x in ids)).all()
+    stored.unpersist()
+
+
+def test_words_are_told_from_their_subwords():
+    rng = np.random.default_rng(3)
+    own = lm.Words.of([" ".join(["a\xa0", "b\xa0c", "漢字", "\x1c", "ab", "ba", "x" * 9_000, "x" * 9_001, "xy" * 4_500, *{str(x) for x in rng.integers(0, 10**7, 50_000)}])])
+    ids, starts = own.subwords(CODEC)
+    hashes = lm.word_hashes(ids, starts[:-1])
+    assert len(set(hashes.tolist())) == len(own.distinct)
+    again = ids.astype(lm._kind(END))
+    assert (np.flatnonzero(lm._opens(ENC)[again]) == starts[:-1]).all() and (lm.word_hashes(again, starts[:-1]) == hashes).all()

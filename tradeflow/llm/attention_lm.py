@@ -3,10 +3,12 @@
 Texts are sequences of words (A-Z in lower case), each word encoded with a leading blank by a byte-level BPE, then
 one end token. The model predicts the next subword's class by one layer of causal self-attention with a relative
 position bias, on top of the current subword's own class preferences; the subword within its class follows its
-corpus frequency. The attention tables are fitted in numpy on a bounded sample of training texts (``SAMPLE_DOCS``);
-word and subword counts, vocabulary and totals come from all training texts. A text's score is that of an even mixture of
-two models of whole texts, the attention model and the word counts of all training texts: a text that the corpus knows by its
-words keeps what they say, whatever the attention tables missed.
+corpus frequency. Everything is learnt from all training texts: word and subword counts, vocabulary, the classes (from
+counts of neighbouring subwords), the symbols' class preferences (from counts of symbol and class) and the attention tables.
+Those are fitted by local descent: in each of ``ROUNDS`` rounds every piece of a segment starts from the same tables, goes through its
+share of its windows once, and the tables are averaged by the windows they have seen. After the last round every window of every
+training text has been used. A text's score is that of an even mixture of two models of whole texts, the attention model and
+the word counts of all training texts: a text that the corpus knows by its words keeps what they say.
 
 Scoring cuts a text's subwords into windows of ``CONTEXT + STRIDE`` that overlap by ``CONTEXT``: a window scores only
 its last ``STRIDE`` positions, so every subword is scored once. Many windows go through one masked attention step.
@@ -14,7 +16,8 @@ its last ``STRIDE`` positions, so every subword is scored once. Many windows go
 Corpus counts travel by segment. Documents are dealt to segments of about ``SEGMENT_BYTES``; each segment sends its
 distinct words' hashes and training counts to the word's vocabulary part, gets the totals of just these words
 back, and meets its texts again. No task holds the whole vocabulary, and a word that every document has is one
-row for each segment.
+row for each segment. Texts are encoded once: a segment is stored as pieces of subwords, and learning and scoring read those; a word's hash follows from its subwords.
+Sums over pieces are taken in 64-bit integers (the tables' in steps of 2^-24), so they are the same for any partitioning.
 
 Defined cases: null and empty texts are one end token; without training rows all counts are 0 and the attention
 tables are neutral; repeated rows and ids are scored one by one; an empty table gives an empty table.
@@ -22,14 +25,13 @@ tables are neutral; repeated rows and ids are scored one by one; an empty table
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import tiktoken
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,9 +41,14 @@ from tradeflow.session import fresh_path
 CONTEXT, STRIDE, WIDTH, CLASSES = 8, 16, 8, 96
 #: Subwords with tables of their own; further ones share ``SHARED`` slots by their id.
 OWN_SYMBOLS, SHARED = 2_048, 256
-#: Training texts the attention tables are fitted on, those with the smallest hashes of their ids.
-SAMPLE_DOCS = 2_500
-STEPS, BATCH, RATE = 400, 96, 0.02
+#: Frequent subwords whose neighbourhood to a subword tells its class.
+NEAR = 256
+#: Words of a stored piece of a segment. A piece goes through its windows once in all rounds, and again where that makes fewer
+#: than ``STEPS`` steps.
+PIECE_WORDS = 400_000
+ROUNDS, STEPS, BATCH, RATE = 3, 400, 96, 0.02
+#: Fraction bits of averaged tables, windows of a unit of weight, parts in which sums over pieces meet.
+TABLE_BITS, WEIGHT_WINDOWS, SUM_PARTS = 24, 64, 256
 #: Text of a segment; at very large inputs it grows with their square root (0.26 GB at 100 TB), so that rows of
 #: counts (segments times vocabulary parts) grow no faster than the input.
 SEGMENT_BYTES, SEGMENT_GROWTH = 16_000_000, 700
@@ -81,9 +88,6 @@ class Words:
         lengths = np.fromiter(map(len, parts), np.int64, len(parts))
         return Words(np.concatenate(parts) if parts else np.zeros(0, np.int32), lengths, list(index))
 
-    def hashes(self) -> np.ndarray:
-        return np.fromiter(map(xxhash.xxh3_64_intdigest, self.distinct), np.uint64, len(self.distinct))
-
     def subwords(self, codec: Codec) -> tuple[np.ndarray, np.ndarray]:
         """Subword ids of the distinct words end to end, and where each word's begin (one more entry at the end).
 
@@ -179,8 +183,10 @@ class Model:
             weight /= weight.sum(2, keepdims=True) + np.float32(1e-20)
             context = np.matmul(weight, self.value[x])
             chosen, scored = inside[:, CONTEXT:], spot[:, CONTEXT:]
-            logits = self.own.take(mine[chosen], axis=0)
-            logits += context[chosen] @ self.out
+            # Products window by window, as in descent.
+            logits = np.matmul(context, self.out)
+            logits = logits.reshape(-1, logits.shape[2]) if chosen.all() else logits[chosen]
+            logits += self.own.take(mine[chosen], axis=0)
             to = scored[chosen]
             hit = logits[np.arange(len(to)), target[to]]
             np.exp(logits, out=logits)
@@ -194,25 +200,54 @@ def _mask(bias: np.ndarray) -> np.ndarray:
     return np.where(distance >= 0, bias[np.maximum(distance, 0)], np.float32(-1e4)).astype(np.float32)
 
 
-def _classes(ids: np.ndarray, size: int, counts: np.ndarray, seed: int) -> np.ndarray:
+@dataclass
+class Symbols:
+    """The most frequent subwords with their counts, and every subword's input symbol."""
+
+    end: int
+    counts: np.ndarray
+    top: np.ndarray
+    symbol: np.ndarray
+
+    @staticmethod
+    def of(counts: np.ndarray, end: int) -> Symbols:
+        top = np.argsort(-counts, kind="stable")[:OWN_SYMBOLS]
+        symbol = (OWN_SYMBOLS + np.arange(end + 1) % SHARED).astype(np.int32)
+        symbol[top] = np.arange(len(top))
+        return Symbols(end, counts, top[counts[top] > 0], symbol)
+
+    @property
+    def near(self) -> int:
+        return min(NEAR, len(self.top))
+
+    def sources(self, ids: np.ndarray) -> np.ndarray:
+        """Input symbols of a run of whole texts."""
+        return self.symbol[np.concatenate([[self.end], ids[:-1]])]
+
+    def neighbours(self, ids: np.ndarray) -> np.ndarray:
+        """Counts, end to end, of top subwords before each near one and after each near one."""
+        n, near = len(self.top), self.near
+        a, b = self.sources(ids), self.symbol[ids]
+        before, after = (a < n) & (b < near), (b < n) & (a < near)
+        pairs = (a[before] * np.int64(near) + b[before], b[after] * np.int64(near) + a[after])
+        return np.concatenate([np.bincount(x, minlength=n * near) for x in pairs])
+
+    def preferences(self, ids: np.ndarray, group: np.ndarray) -> np.ndarray:
+        """Counts of input symbol and class of the next subword."""
+        n = OWN_SYMBOLS + SHARED + 1
+        return np.bincount(self.sources(ids) * np.int64(CLASSES) + group[ids], minlength=n * CLASSES)
+
+
+def _classes(symbols: Symbols, neighbours: np.ndarray, seed: int) -> np.ndarray:
     """Class of every subword: k-means over the neighbours of frequent ones; the others by their id."""
-    group = np.arange(size) % CLASSES
-    top = np.argsort(-counts, kind="stable")[:OWN_SYMBOLS]
-    top = top[counts[top] > 0]
-    if len(top) <= CLASSES or len(ids) < 2:
+    group = np.arange(symbols.end + 1) % CLASSES
+    top = symbols.top
+    if len(top) <= CLASSES or not neighbours.any():
         return group.astype(np.int32)
-    rank = np.full(size, -1)
-    rank[top] = np.arange(len(top))
-    near = min(256, len(top))
-    a, b = rank[ids[:-1]], rank[ids[1:]]
-    table = np.zeros((len(top), 2 * near))
-    good = (a >= 0) & (b >= 0) & (b < near)
-    np.add.at(table, (a[good], b[good]), 1)
-    good = (a >= 0) & (b >= 0) & (a < near)
-    np.add.at(table, (b[good], near + a[good]), 1)
+    table = np.concatenate(neighbours.reshape(2, len(top), symbols.near), axis=1).astype(float)
     table = np.sqrt(table / np.maximum(table.sum(1, keepdims=True), 1))
     rng = np.random.default_rng(seed)
-    weight = counts[top] / counts[top].sum()
+    weight = symbols.counts[top] / symbols.counts[top].sum()
     centre = table[rng.choice(len(top), CLASSES, replace=False, p=(weight + 1e-6) / (weight + 1e-6).sum())]
     for _ in range(12):
         label = ((table**2).sum(1)[:, None] - 2 * table @ centre.T + (centre**2).sum(1)).argmin(1)
@@ -223,74 +258,138 @@ def _classes(ids: np.ndarray, size: int, counts: np.ndarray, seed: int) -> np.nd
     return group.astype(np.int32)
 
 
-def fit(texts: list[np.ndarray], counts: np.ndarray, end: int, seed: int = 5, steps: int = STEPS) -> Model:
-    """Model from sample texts' subword ids (each closed by ``end``) and the whole corpus' subword counts."""
-    size = end + 1
-    ids = np.concatenate(texts) if texts else np.zeros(0, np.int64)
-    group = _classes(ids, size, counts, seed)
-    top = np.argsort(-counts, kind="stable")[:OWN_SYMBOLS]
-    symbol = (OWN_SYMBOLS + np.arange(size) % SHARED).astype(np.int32)
-    symbol[top] = np.arange(len(top))
-    mass = np.bincount(group, weights=counts + 0.5, minlength=CLASSES)
-    within = np.log10((counts + 0.5) / mass[group]).astype(np.float32)
+#: Tables of symbols, and all that descent moves; ``own`` follows the counts of all training texts.
+PLACES = ("query", "key", "value")
+LEARNT = (*PLACES, "out", "bias")
+
+
+def _tables(mass: np.ndarray, preferences: np.ndarray, seed: int) -> dict[str, np.ndarray]:
+    """Tables to start from: the symbols' class preferences, smoothed by the classes' shares, and small random ones."""
     n = OWN_SYMBOLS + SHARED + 1
     rng = np.random.default_rng(seed)
-    prior = np.log(mass / mass.sum())
+    share, pairs = mass / mass.sum(), preferences.reshape(n, CLASSES)
     p = {
         "query": rng.normal(0, 0.3, (n, WIDTH)), "key": rng.normal(0, 0.3, (n, WIDTH)), "value": rng.normal(0, 0.3, (n, WIDTH)),
-        "out": rng.normal(0, 0.1, (WIDTH, CLASSES)), "own": np.tile(prior, (n, 1)), "bias": -0.1 * np.arange(CONTEXT + STRIDE),
+        "out": rng.normal(0, 0.1, (WIDTH, CLASSES)), "own": np.log((pairs + 20 * share) / (pairs.sum(1, keepdims=True) + 20)),
+        "bias": -0.1 * np.arange(CONTEXT + STRIDE),
     }
-    span = CONTEXT + STRIDE
-    if len(ids) > 4 * span:
-        source = symbol[np.concatenate([[end], ids[:-1]])]
-        target = group[ids]
-        pairs = np.zeros((n, CLASSES))
-        np.add.at(pairs, (source, target), 1)
-        p["own"] = np.log((pairs + 20 * np.exp(prior)) / (pairs.sum(1, keepdims=True) + 20))
-        _descend(p, source, target, span, rng, steps)
-    small = {k: v.astype(np.float32) for k, v in p.items()}
+    return {k: v.astype(np.float32) for k, v in p.items()}
+
+
+def _finished(symbols: Symbols, group: np.ndarray, mass: np.ndarray, tables: dict[str, np.ndarray]) -> Model:
+    small = dict(tables)
     small["query"] = np.clip(small["query"] / np.float32(np.sqrt(WIDTH)), -5, 5)
     small["key"] = np.clip(small["key"], -5, 5)  # keeps every exponent far from overflow
-    return Model(end, symbol, group, within=within, **small)
+    within = np.log10((symbols.counts + 0.5) / mass[group]).astype(np.float32)
+    return Model(symbols.end, symbols.symbol, group, within=within, **small)
+
+
+def _mass(counts: np.ndarray, group: np.ndarray) -> np.ndarray:
+    return np.bincount(group, weights=counts + 0.5, minlength=CLASSES)
+
+
+def fit(texts: list[np.ndarray], counts: np.ndarray, end: int, seed: int = 5, steps: int = STEPS) -> Model:
+    """Model of a few texts in memory, from their subword ids (each closed by ``end``) and subword counts."""
+    ids = np.concatenate(texts) if texts else np.zeros(0, np.int64)
+    symbols = Symbols.of(counts, end)
+    group = _classes(symbols, symbols.neighbours(ids), seed)
+    tables = _tables(mass := _mass(counts, group), symbols.preferences(ids, group), seed)
+    for round_ in range(ROUNDS):
+        learn(tables, symbols.sources(ids), group[ids], round_, steps, np.random.default_rng([seed, round_]))
+    return _finished(symbols, group, mass, tables)
+
+
+def learn(p: dict[str, np.ndarray], source: np.ndarray, target: np.ndarray, round_: int, steps: int, rng: np.random.Generator) -> int:
+    """Descent over a round's share of the windows of a run of texts, every ``ROUNDS``-th one; how many windows that are.
+
+    The windows lie side by side; the last one ends with the run, so every position is in one.
+    """
+    span = CONTEXT + STRIDE
+    if len(source) <= span:
+        return 0
+    starts = np.minimum(np.arange(0, len(source), span), len(source) - span)[round_::ROUNDS]
+    if not len(starts):
+        return 0
+    turns = max(1, -(-(-(-steps // ROUNDS) * BATCH) // len(starts)))
+    order = np.concatenate([rng.permutation(starts) for _ in range(turns)])
+    batches = [order[k : k + BATCH] for k in range(0, len(order), BATCH)]
+    whole = np.linspace(round_ / ROUNDS, (round_ + 1) / ROUNDS, len(batches), endpoint=False)
+    _steps(p, source, target, span, batches, RATE * np.minimum(1.0, 2 * (1 - whole)), LEARNT)
+    return len(starts)
 
 
 def _descend(p: dict[str, np.ndarray], source: np.ndarray, target: np.ndarray, span: int, rng: np.random.Generator, steps: int) -> None:
-    """Adam on the cross-entropy of random windows, with gradients through softmax attention."""
-    first = {k: np.zeros_like(v) for k, v in p.items()}
-    second = {k: np.zeros_like(v) for k, v in p.items()}
+    """Descent of all tables on random windows."""
+    batches = [rng.integers(0, len(source) - span, BATCH) for _ in range(steps)]
+    _steps(p, source, target, span, batches, RATE * np.minimum(1.0, 2 * (1 - np.arange(1, steps + 1) / (steps + 1))), (*LEARNT, "own"))
+
+
+def _steps(p: dict[str, np.ndarray], source: np.ndarray, target: np.ndarray, span: int, batches: list[np.ndarray], rates: np.ndarray, moved: tuple[str, ...]) -> None:
+    """Adam on the cross-entropy of the windows that begin at each batch's places, with gradients through softmax attention."""
+    kind = p["out"].dtype
+    moves_own = "own" in moved
+    places, rest = np.concatenate([p[k] for k in PLACES], axis=1), {k: p[k] for k in moved if k not in PLACES}
+    w = p["query"].shape[1]
+    mine = {"places": places, **rest}
+    first = {k: np.zeros_like(v) for k, v in mine.items()}
+    second = {k: np.zeros_like(v) for k, v in mine.items()}
     distance = np.arange(span)[:, None] - np.arange(span)[None]
-    later = distance < 0
+    later = np.where(distance < 0, -1e9, 0).astype(kind)
     far = np.maximum(distance, 0)
-    scale = 1 / np.sqrt(WIDTH)
-    for step in range(1, steps + 1):
-        at = rng.integers(0, len(source) - span, BATCH)[:, None] + np.arange(span)
-        x, y = source[at], target[at]
-        q, k, v = p["query"][x], p["key"][x], p["value"][x]
-        s = q @ k.transpose(0, 2, 1) * scale + p["bias"][far]
-        s[:, later] = -1e9
-        s = np.exp(s - s.max(2, keepdims=True))
-        a = s / s.sum(2, keepdims=True)
+    scale, reach, n, classes = kind.type(1 / np.sqrt(w)), np.arange(span), len(places), p["out"].shape[1]
+    odds = None if moves_own else np.exp(p["own"] - p["own"].max(1, keepdims=True))
+    for step, (begin, rate) in enumerate(zip(batches, rates, strict=True), 1):
+        at = begin[:, None] + reach
+        flat, y = source[at.ravel()], target[at.ravel()]
+        size, out = len(flat), p["out"]
+        now = places.take(flat, axis=0).reshape(len(begin), span, 3 * w)
+        q, k, v = now[..., :w] * scale, np.ascontiguousarray(now[..., w : 2 * w]), np.ascontiguousarray(now[..., 2 * w :])
+        a = q @ k.transpose(0, 2, 1)
+        a += p["bias"][far] + later
+        a -= a.max(2, keepdims=True)
+        np.exp(a, out=a)
+        a /= a.sum(2, keepdims=True)
         h = a @ v
-        logits = h @ p["out"] + p["own"][x]
-        e = np.exp(logits - logits.max(2, keepdims=True))
-        d = e / e.sum(2, keepdims=True)
-        d[np.arange(BATCH)[:, None], np.arange(span), y] -= 1
-        d /= BATCH * span
-        dh = d @ p["out"].T
+        # Odds of the classes; their sum divides what is made of them, not each of them. Products go window by window: of larger
+        # ones the algebra library makes threads that only wait in a task with one core.
+        d = (h @ out).reshape(size, classes)
+        np.clip(d, -60, 60, out=d)
+        np.exp(d, out=d)
+        d *= (np.exp(p["own"] - p["own"].max(1, keepdims=True)) if moves_own else odds).take(flat, axis=0)
+        share = 1 / (d.sum(1) * kind.type(size))
+        odd = d.reshape(len(begin), span, classes)
+        dh = (odd @ out.T).reshape(size, w)
+        dh *= share[:, None]
+        dh -= out.T.take(y, axis=0) / kind.type(size)
+        dh = dh.reshape(len(begin), span, w)
+        hit = np.stack([np.bincount(y, h[..., j].ravel(), classes) for j in range(w)]) / size
+        grads = {"out": ((h * share.reshape(len(begin), span, 1)).transpose(0, 2, 1) @ odd).sum(0) - hit.astype(kind)}
         da = dh @ v.transpose(0, 2, 1)
-        ds = a * (da - (da * a).sum(2, keepdims=True))
-        per_place = {"query": ds @ k * scale, "key": ds.transpose(0, 2, 1) @ q * scale, "value": a.transpose(0, 2, 1) @ dh, "own": d}
-        grads = {"out": np.tensordot(h, d, ([0, 1], [0, 1])), "bias": np.bincount(far[~later], weights=ds.sum(0)[~later], minlength=span)}
-        flat = x.ravel()
-        for name, g in per_place.items():
-            table = np.zeros_like(p[name])
-            np.add.at(table, flat, g.reshape(len(flat), -1))
-            grads[name] = table
-        rate = RATE * min(1.0, 2 * (1 - step / (steps + 1)))
-        for name, g in grads.items():
-            first[name] += 0.1 * (g - first[name])
-            second[name] += 0.01 * (g * g - second[name])
-            p[name] -= rate * (first[name] / (1 - 0.9**step)) / (np.sqrt(second[name] / (1 - 0.99**step)) + 1e-8)
+        da -= (da * a).sum(2, keepdims=True)
+        da *= a
+        grads["bias"] = np.bincount(far.ravel(), weights=np.where(distance < 0, 0, da.sum(0)).ravel(), minlength=span).astype(kind)
+        now[..., :w], now[..., w : 2 * w], now[..., 2 * w :] = da @ k * scale, da.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dh
+        order = np.argsort(flat, kind="stable")
+        sorted_ = flat[order]
+        cuts = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
+
+        def met(table: np.ndarray, cuts=cuts, order=order, sorted_=sorted_) -> np.ndarray:
+            total = np.zeros((n, table.shape[1]), kind)
+            total[sorted_[cuts]] = np.add.reduceat(table.take(order, axis=0), cuts, axis=0)
+            return total
+
+        grads["places"] = met(now.reshape(size, 3 * w))
+        if moves_own:
+            d *= share[:, None]
+            d[np.arange(size), y] -= kind.type(1 / size)
+            grads["own"] = met(d)
+        for name, table in mine.items():
+            g = grads[name]
+            first[name] += kind.type(0.1) * (g - first[name])
+            second[name] += kind.type(0.01) * (g * g - second[name])
+            table -= kind.type(rate / (1 - 0.9**step)) * first[name] / (np.sqrt(second[name] / kind.type(1 - 0.99**step)) + kind.type(1e-8))
+    for j, name in enumerate(PLACES):
+        p[name][:] = places[:, j * w : (j + 1) * w]
 
 
 # ---------------------------------------------------------------- over the corpus
@@ -305,9 +404,13 @@ def segment_of(segments: int) -> Column:
 
 
 def _dealt(docs: DataFrame, segments: int) -> DataFrame:
-    """``seg, doc_id, text, train``; texts are not null. Spare partitions keep segments from meeting in one task."""
+    """``seg, doc_id, text, train``; texts are not null. Spare partitions keep segments from meeting in one task.
+
+    A segment's texts have one order, in which descent goes through them.
+    """
     slim = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "train")
-    return slim.select(segment_of(segments).alias("seg"), "doc_id", "text", "train").repartition(_partitions(segments), "seg")
+    dealt = slim.select(segment_of(segments).alias("seg"), "doc_id", "text", "train").repartition(_partitions(segments), "seg")
+    return dealt.sortWithinPartitions("seg", "doc_id", "text", "train")
 
 
 def _words_of_segment(rows: pd.DataFrame) -> tuple[Words, np.ndarray]:
@@ -317,28 +420,102 @@ def _words_of_segment(rows: pd.DataFrame) -> tuple[Words, np.ndarray]:
     return own, np.bincount(own.numbers, weights=weight, minlength=len(own.distinct)).astype(np.int64)
 
 
+@dataclass
+class Piece:
+    """Texts of a segment that hold about ``PIECE_WORDS`` words: subwords end to end, each text's end token last."""
+
+    ids: np.ndarray
+    lengths: np.ndarray
+    train: np.ndarray
+
+    @staticmethod
+    def of(row, end: int) -> Piece:
+        return Piece(np.frombuffer(row.ids, _kind(end)), np.frombuffer(row.lengths, np.int32).astype(np.int64), np.frombuffer(row.train, bool))
+
+    def training(self) -> np.ndarray:
+        return self.ids if self.train.all() else self.ids[np.repeat(self.train, self.lengths)]
+
+
+def _kind(end: int) -> type:
+    """The type of stored subwords."""
+    return np.uint16 if end < 2**16 else np.int32
+
+
+def _pieces(own: Words, ids: np.ndarray, starts: np.ndarray, end: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Texts ``low`` to ``high`` of each piece with their subwords, and how many each text has with its end."""
+    sizes, ends = np.diff(starts), np.cumsum(own.lengths)
+    low = 0
+    while low < len(own.lengths):
+        begin = ends[low] - own.lengths[low]
+        high = max(low + 1, int(np.searchsorted(ends, begin + PIECE_WORDS)))
+        numbers = own.numbers[begin : ends[high - 1]]
+        long = sizes[numbers]
+        flat = np.repeat(starts[numbers] - (np.cumsum(long) - long), long) + np.arange(long.sum())
+        text = np.repeat(np.arange(high - low), own.lengths[low:high])
+        each = np.bincount(text, weights=long, minlength=high - low).astype(np.int64) + 1
+        joined = np.full(int(each.sum()), end, _kind(end))
+        body = np.ones(len(joined), bool)
+        body[np.cumsum(each) - 1] = False
+        joined[body] = ids[flat]
+        yield low, high, joined, each
+        low = high
+
+
+#: Random numbers of subwords and of places in a word, for hashes of words.
+_MIX = np.random.default_rng(20).integers(0, 2**64, 2**12, np.uint64) | np.uint64(1)
+
+
+def word_hashes(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """64-bit hashes of words whose subwords begin at ``starts``; a word and its subwords stand for each other."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    place = np.arange(len(ids)) - np.repeat(starts, np.diff(np.append(starts, len(ids))))
+    x = (ids.astype(np.uint64) + np.uint64(1)) * _MIX[place % len(_MIX)]
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(32)
+    x *= _MIX[(place + place // len(_MIX) + 1) % len(_MIX)] + (place // len(_MIX)).astype(np.uint64) * np.uint64(2)
+    x = np.add.reduceat(x, starts)
+    x ^= x >> np.uint64(30)
+    x *= np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+#: Columns of ``word_counts``.
+COUNTS = "kind int, seg int, part int, hashes binary, counts binary, names array<{kind}>, ids binary, lengths binary, train binary"
+
+
 def word_counts(dealt: DataFrame, parts: int, rank_file, pattern: str) -> DataFrame:
     """Per segment and vocabulary part: ``kind, seg, part, hashes, counts`` as bytes.
 
-    Rows of kind 1 hold the segment's subword ids and counts, with texts and ends of training rows last.
+    Rows of kind 1 hold the segment's subword ids and counts, those of kind 2 its training rows, those of kind 3 (``part``: their
+    order) the texts themselves: ids of documents, and the fields of ``Piece``.
     """
 
     def run(key, rows: pd.DataFrame) -> pd.DataFrame:
         own, counts = _words_of_segment(rows)
-        hashes = own.hashes()
+        codec = _codec(rank_file.value, pattern)
+        ids, starts = own.subwords(codec)
+        hashes = word_hashes(ids, starts[:-1])
         part = (hashes % np.uint64(parts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         cuts = np.flatnonzero(np.diff(part[order])) + 1
-        out = [(0, key[0], int(part[s[0]]), hashes[s].tobytes(), counts[s].tobytes()) for s in np.split(order, cuts) if len(s)]
-        ids, starts = own.subwords(_codec(rank_file.value, pattern))
+        rest = None, b"", b"", b""
+        out = [(0, key[0], int(part[s[0]]), hashes[s].tobytes(), counts[s].tobytes(), *rest) for s in np.split(order, cuts) if len(s)]
         weights = np.repeat(counts, np.diff(starts))
         kept = np.flatnonzero(tally := np.bincount(ids, weights=weights).astype(np.int64)) if len(ids) else np.zeros(0, np.int64)
         if len(kept):
-            out.append((1, key[0], -1, kept.astype(np.int64).tobytes(), tally[kept].tobytes()))
-        out.append((2, key[0], -1, b"", np.array([rows["train"].sum()], np.int64).tobytes()))
-        return pd.DataFrame(out, columns=["kind", "seg", "part", "hashes", "counts"])
+            out.append((1, key[0], -1, kept.astype(np.int64).tobytes(), tally[kept].tobytes(), *rest))
+        train = rows["train"].to_numpy(bool)
+        out.append((2, key[0], -1, b"", np.array([train.sum()], np.int64).tobytes(), *rest))
+        names = [None if x is None or x != x else x for x in rows["doc_id"].tolist()]
+        end = codec.encoding.n_vocab
+        for number, (low, high, joined, each) in enumerate(_pieces(own, ids, starts, end)):
+            texts = joined.tobytes(), each.astype(np.int32).tobytes(), train[low:high].tobytes()
+            out.append((3, key[0], number, b"", b"", names[low:high], *texts))
+        return pd.DataFrame(out, columns=["kind", "seg", "part", "hashes", "counts", "names", "ids", "lengths", "train"])
 
-    return dealt.groupBy("seg").applyInPandas(run, "kind int, seg int, part int, hashes binary, counts binary")
+    return dealt.groupBy("seg").applyInPandas(run, COUNTS.format(kind=dealt.schema["doc_id"].dataType.simpleString()))
 
 
 def shared_counts(counts: DataFrame) -> DataFrame:
@@ -369,23 +546,92 @@ def _summed(rows: DataFrame, name: str, seconds: int) -> list[tuple[int, int]]:
     return [(r["id"], r[name]) for r in flat.limit(seconds).collect()]
 
 
+def _over_pieces(stored: DataFrame, end: int, size: int, add: Callable[[np.ndarray, Piece, list[int]], None]) -> np.ndarray:
+    """Sums of ``size`` integers that ``add`` fills from each piece; they meet in parts, and only the totals reach the driver."""
+    cuts = [len(x) for x in np.array_split(np.empty(size, bool), SUM_PARTS)]
+    begins = np.concatenate([[0], np.cumsum(cuts)])
+
+    def filled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total, seen = np.zeros(size, np.int64), False
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                add(total, Piece.of(row, end), [row.seg, row.part])
+                seen = True
+        if seen:
+            yield _packed((k, total[begins[k] : begins[k + 1]]) for k in range(SUM_PARTS))
+
+    def met(key, rows: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(cuts[key[0]], np.int64)
+        for cells, sums in zip(rows["cells"], rows["sums"], strict=True):
+            total[np.frombuffer(cells, np.int32)] += np.frombuffer(sums, np.int64)
+        return _packed([(key[0], total)])
+
+    schema = "part int, cells binary, sums binary"
+    read = stored.select("seg", "part", "ids", "lengths", "train")
+    out = np.zeros(size, np.int64)
+    for r in read.mapInPandas(filled, schema).groupBy("part").applyInPandas(met, schema).collect():  # at most one row a part
+        out[begins[r["part"]] + np.frombuffer(bytes(r["cells"]), np.int32)] = np.frombuffer(bytes(r["sums"]), np.int64)
+    return out
+
+
+def _packed(parts: Iterable[tuple[int, np.ndarray]]) -> pd.DataFrame:
+    """The cells of each part that aren't 0."""
+    rows = [(k, at.astype(np.int32).tobytes(), own[at].tobytes()) for k, own in parts if len(at := np.flatnonzero(own))]
+    return pd.DataFrame(rows, columns=["part", "cells", "sums"])
+
+
+def fit_corpus(stored: DataFrame, counts: np.ndarray, end: int, seed: int = 5, steps: int = STEPS) -> Model:
+    """The model of all training texts of the stored pieces, from their subword counts."""
+    context, symbols = stored.sparkSession.sparkContext, Symbols.of(counts, end)
+    sent = context.broadcast(symbols)
+
+    def neighbours(total: np.ndarray, own: Piece, _) -> None:
+        total += sent.value.neighbours(own.training())
+
+    found = _over_pieces(stored, end, 2 * len(symbols.top) * symbols.near, neighbours) if len(symbols.top) > CLASSES else np.zeros(0, np.int64)
+    group = _classes(symbols, found, seed)
+    groups, n = context.broadcast(group), (OWN_SYMBOLS + SHARED + 1) * CLASSES
+
+    def preferences(total: np.ndarray, own: Piece, _) -> None:
+        total += sent.value.preferences(own.training(), groups.value)
+
+    mass = _mass(counts, group)
+    tables = _tables(mass, _over_pieces(stored, end, n, preferences), seed)
+    for round_ in range(ROUNDS):
+        now = context.broadcast(tables)
+
+        def learnt(total: np.ndarray, own: Piece, number: list[int], now=now, round_=round_) -> None:
+            p, ids = {k: v.copy() for k, v in now.value.items()}, own.training()
+            windows = learn(p, sent.value.sources(ids), groups.value[ids], round_, steps, np.random.default_rng([seed, round_, *number]))
+            weight = -(-windows // WEIGHT_WINDOWS)
+            flat = np.concatenate([p[k].ravel() for k in LEARNT]).astype(float)
+            total[:-1] += np.rint(flat * 2**TABLE_BITS).astype(np.int64) * weight
+            total[-1] += weight
+
+        sums = _over_pieces(stored, end, sum(tables[k].size for k in LEARNT) + 1, learnt)
+        now.destroy()
+        if sums[-1]:
+            flat = np.split(sums[:-1] / sums[-1] / 2**TABLE_BITS, np.cumsum([tables[k].size for k in LEARNT])[:-1])
+            tables |= {k: x.reshape(tables[k].shape).astype(np.float32) for k, x in zip(LEARNT, flat, strict=True)}
+    return _finished(symbols, group, mass, tables)
+
+
 def score_documents(
-    docs: DataFrame, rank_path: str, pattern: str, sample_docs: int = SAMPLE_DOCS, segment_bytes: int = SEGMENT_BYTES,
-    segment_growth: int = SEGMENT_GROWTH, steps: int = STEPS,
+    docs: DataFrame, rank_path: str, pattern: str, segment_bytes: int = SEGMENT_BYTES, segment_growth: int = SEGMENT_GROWTH, steps: int = STEPS,
 ) -> DataFrame:
     """``doc_id, train, n_tokens, n_known, train_tokens, base_score, score, n_subwords`` of ``docs(doc_id, text, train)``.
 
-    ``train`` (never null) marks the rows that counts and model may learn from.
+    ``train`` (never null) marks the rows that counts and model learn from.
     """
     spark = docs.sparkSession
     ranks = spark.sparkContext.broadcast(read_ranks(rank_path))
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     segments = max(1, -(-size // max(segment_bytes, int((segment_growth * size) ** 0.5))))
-    dealt = _dealt(docs, segments)
 
     path = fresh_path(spark, "lm-counts")
-    word_counts(dealt, min(segments, MAX_PARTS), ranks, pattern).write.parquet(path)
-    counts = spark.read.parquet(path)
+    word_counts(_dealt(docs, segments), min(segments, MAX_PARTS), ranks, pattern).write.partitionBy("kind").parquet(path)
+    written = spark.read.schema(COUNTS.format(kind=docs.schema["doc_id"].dataType.simpleString())).parquet(path)
+    counts, stored = written.filter("kind < 3"), written.filter("kind = 3")
     path = fresh_path(spark, "lm-shared")
     shared_counts(counts).write.parquet(path)
     shared = spark.read.parquet(path)
@@ -401,16 +647,19 @@ def score_documents(
     for i, n in _summed(counts.filter("kind = 1"), "n", end + 1):
         tally[i] = n
     tally[end] = train_docs
-    model = spark.sparkContext.broadcast(fit(_sample(docs, ranks.value, pattern, end, sample_docs), tally, end, steps=steps))
+    model = spark.sparkContext.broadcast(fit_corpus(stored, tally, end, steps=steps))
     rest = float(np.log10(total + distinct + 1))
 
     def run(key, rows: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        return _score_rows(rows, known_counts(known), model.value, _codec(ranks.value, pattern), train_docs, rest)
+        counts, opens = known_counts(known), _opens(_codec(ranks.value, pattern).encoding)
+        scored = [_score_rows(row, counts, model.value, opens, train_docs, rest) for row in rows.itertuples(index=False)]
+        return pd.concat(scored) if scored else pd.DataFrame(columns=["doc_id"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, train boolean, n_tokens long, n_known long, base_score double, score double, n_subwords long"
+    texts = stored.select("seg", "names", "ids", "lengths", "train").repartition(_partitions(segments), "seg")
     back = shared.filter("seg >= 0").select("seg", "hashes", "counts").repartition(_partitions(segments), "seg")
-    scored = dealt.groupBy("seg").cogroup(back.groupBy("seg")).applyInPandas(run, schema)
+    scored = texts.groupBy("seg").cogroup(back.groupBy("seg")).applyInPandas(run, schema)
     return scored.withColumn("train_tokens", F.lit(int(total)).cast("long"))
 
 
@@ -424,48 +673,18 @@ def known_counts(known: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return hashes[at], counts[at]
 
 
-def _score_rows(rows: pd.DataFrame, known, model: Model, codec: Codec, train_docs: int, rest: float) -> pd.DataFrame:
-    own = Words.of(list(rows["text"]))
-    table, counts = known
-    hashes = own.hashes()
+def _score_rows(row, known, model: Model, opens: np.ndarray, train_docs: int, rest: float) -> pd.DataFrame:
+    own = Piece.of(row, model.end)
+    size, table, counts = len(own.lengths), *known
+    body = own.ids != model.end
+    text, ids = np.repeat(np.arange(size), own.lengths)[body], own.ids[body]
+    starts = np.flatnonzero(opens[ids])
+    hashes, text = word_hashes(ids, starts), text[starts]
     at = np.minimum(np.searchsorted(table, hashes), max(0, len(table) - 1))
     c = np.where(table[at] == hashes, counts[at], 0) if len(table) else np.zeros(len(hashes), np.int64)
-    text = np.repeat(np.arange(len(rows)), own.lengths)
-    n = own.lengths + 1
-    base = np.bincount(text, weights=np.log10(c + 1.0)[own.numbers], minlength=len(rows)) + np.log10(train_docs + 1.0) - n * rest
-    seen = np.bincount(text, weights=(c > 0)[own.numbers], minlength=len(rows)).astype(np.int64) + (train_docs > 0)
-    ids, starts = own.subwords(codec)
-    sizes = np.diff(starts)
-    score, pieces = np.empty(len(rows)), np.empty(len(rows), np.int64)
-    ends = np.cumsum(own.lengths)
-    low = 0
-    while low < len(rows):  # texts together that hold about 400,000 words
-        high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + 400_000)))
-        numbers = own.numbers[ends[low] - own.lengths[low] : ends[high - 1]]
-        long = sizes[numbers]
-        flat = np.repeat(starts[numbers] - (np.cumsum(long) - long), long) + np.arange(long.sum())
-        each = np.bincount(text[ends[low] - own.lengths[low] : ends[high - 1]] - low, weights=long, minlength=high - low).astype(np.int64)
-        joined = np.full(int(each.sum()) + high - low, model.end, np.int64)
-        stop = np.cumsum(each + 1) - 1
-        body = np.ones(len(joined), bool)
-        body[stop] = False
-        joined[body] = ids[flat]
-        score[low:high] = model.score(joined, each + 1)
-        pieces[low:high] = each
-        low = high
+    n = np.bincount(text, minlength=size) + 1
+    base = np.bincount(text, weights=np.log10(c + 1.0), minlength=size) + np.log10(train_docs + 1.0) - n * rest
+    seen = np.bincount(text, weights=c > 0, minlength=size).astype(np.int64) + (train_docs > 0)
     # Half the prior goes to the corpus' word counts, half to the attention model: log10 of the mean of both probabilities.
-    score = np.logaddexp(base * np.log(10), score * np.log(10)) / np.log(10) - np.log10(2)
-    return pd.DataFrame({"doc_id": rows["doc_id"].to_numpy(), "train": rows["train"].to_numpy(bool), "n_tokens": n, "n_known": seen, "base_score": base, "score": score, "n_subwords": pieces})
-
-
-def _sample(docs: DataFrame, rank_file: bytes, pattern: str, end: int, limit: int) -> list[np.ndarray]:
-    """Subword ids of a bounded sample of training texts, in the order of their ids' hashes."""
-    picked = docs.filter("train").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).distinct()
-    rows = docs.filter("train").join(F.broadcast(picked), "doc_id", "left_semi").select("text", F.xxhash64("doc_id", "text").alias("_h")).toPandas()
-    out = []
-    for text in rows.sort_values("_h")["text"]:
-        own = Words.of([text or ""])
-        ids, starts = own.subwords(_codec(rank_file, pattern))
-        parts = [ids[starts[k] : starts[k + 1]] for k in own.numbers]
-        out.append(np.concatenate([*parts, [end]]).astype(np.int64))
-    return out
+    score = np.logaddexp(base * np.log(10), model.score(own.ids, own.lengths) * np.log(10)) / np.log(10) - np.log10(2)
+    return pd.DataFrame({"doc_id": row.names, "train": own.train, "n_tokens": n, "n_known": seen, "base_score": base, "score": score, "n_subwords": own.lengths - 1})
