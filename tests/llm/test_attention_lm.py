@@ -211,3 +211,31 @@ def test_words_are_told_from_their_subwords():
     assert len(set(hashes.tolist())) == len(own.distinct)
     again = ids.astype(lm._kind(END))
     assert (np.flatnonzero(lm._opens(ENC)[again]) == starts[:-1]).all() and (lm.word_hashes(again, starts[:-1]) == hashes).all()
+
+
+def test_words_found_in_one_buffer_equal_those_of_split(monkeypatch):
+    monkeypatch.setattr(lm, "LOOK_BYTES", 64)
+    texts = ["", " \n\t ", "a\x1cb \x1d c", "\x0b\x0ca\r\nb ", "É\xa0É x　 Ab\x85c", "x\x00y x\x00 x", "q" * 50 + " " + "q" * 49 + " qqqqqqqq " + "q" * 9, "z" * 5_000 + " " + "z" * 4_999, "A b a B"]
+    own, want = lm.Words.of(texts), [t.encode().lower().split() for t in texts]
+    ends = np.cumsum([0, *own.lengths])
+    assert [[own.distinct[i] for i in own.numbers[a:b]] for a, b in zip(ends[:-1], ends[1:], strict=True)] == want
+    assert len(set(own.distinct)) == len(own.distinct)
+
+
+def test_a_segments_pieces_go_through_each_window_once(monkeypatch):
+    """Pieces are of like size, so that none is gone through again only because it is a rest."""
+    texts = ["the red cat sat on the old blue mat"] * 200
+    own = lm.Words.of(texts)
+    ids, starts = own.subwords(CODEC)
+    monkeypatch.setattr(lm, "PIECE_WORDS", 500)
+    pieces = list(lm._pieces(own, ids, starts, END))
+    sizes = [int(own.lengths[low:high].sum()) for low, high, *_ in pieces]
+    assert sum(sizes) == 1_800 and [p[0] for p in pieces[1:]] == [p[1] for p in pieces[:-1]] and max(sizes) - min(sizes) <= 2 * 9
+    assert sum(len(p[2]) for p in pieces) == sum(len(sequence(t)) for t in texts)
+    monkeypatch.undo()
+    # A full piece, of which six texts of seven are learnt from: its windows make more steps than ``STEPS``, so none comes twice.
+    seen = []
+    monkeypatch.setattr(lm, "_steps", lambda p, source, target, span, batches, rates, moved: seen.extend(np.concatenate(batches)))
+    for round_ in range(lm.ROUNDS):
+        lm.learn({}, source := np.zeros(lm.PIECE_WORDS * 2 * 6 // 7, np.int64), source, round_, lm.STEPS, np.random.default_rng(1))
+    assert len(seen) == len(set(seen)) == -(-len(source) // (lm.CONTEXT + lm.STRIDE))

@@ -6,7 +6,7 @@ position bias, on top of the current subword's own class preferences; the subwor
 corpus frequency. Everything is learnt from all training texts: word and subword counts, vocabulary, the classes (from
 counts of neighbouring subwords), the symbols' class preferences (from counts of symbol and class) and the attention tables.
 Those are fitted by local descent: in each of ``ROUNDS`` rounds every piece of a segment starts from the same tables, goes through its
-share of its windows once, and the tables are averaged by the windows they have seen. After the last round every window of every
+share of its windows once, and the tables are averaged by the windows they have seen (a step moves the means of its symbols only). After the last round every window of every
 training text has been used. A text's score is that of an even mixture of two models of whole texts, the attention model and
 the word counts of all training texts: a text that the corpus knows by its words keeps what they say.
 
@@ -32,6 +32,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import tiktoken
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,9 +44,9 @@ CONTEXT, STRIDE, WIDTH, CLASSES = 8, 16, 8, 96
 OWN_SYMBOLS, SHARED = 2_048, 256
 #: Frequent subwords whose neighbourhood to a subword tells its class.
 NEAR = 256
-#: Words of a stored piece of a segment. A piece goes through its windows once in all rounds, and again where that makes fewer
-#: than ``STEPS`` steps.
-PIECE_WORDS = 400_000
+#: Words of a stored piece of a segment, whose pieces are of like size. A piece goes through its windows once in all rounds, and
+#: again where that makes fewer than ``STEPS`` steps; pieces of this size make more.
+PIECE_WORDS = 800_000
 ROUNDS, STEPS, BATCH, RATE = 3, 400, 96, 0.02
 #: Fraction bits of averaged tables, windows of a unit of weight, parts in which sums over pieces meet.
 TABLE_BITS, WEIGHT_WINDOWS, SUM_PARTS = 24, 64, 256
@@ -54,8 +55,8 @@ TABLE_BITS, WEIGHT_WINDOWS, SUM_PARTS = 24, 64, 256
 SEGMENT_BYTES, SEGMENT_GROWTH = 16_000_000, 700
 #: Vocabulary parts and shuffle partitions at most; a task reads its segments one after the other.
 MAX_PARTS, MAX_PARTITIONS = 20_000, 20_000
-#: Windows of one attention step.
-STEP_WINDOWS = 512
+#: Windows of one attention step, and subwords of the texts that are scored together.
+STEP_WINDOWS, SCORED = 512, 500_000
 
 
 @lru_cache(maxsize=2)
@@ -63,12 +64,35 @@ def _codec(rank_file: bytes, pattern: str) -> Codec:
     return Codec(rank_file, pattern)
 
 
-class _Index(dict):
-    """Word to its number in order of appearance."""
+#: Bytes of texts whose words are looked for at once.
+LOOK_BYTES = 500_000
+_BLANK = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self)
-        return n
+
+def _found(texts: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the words of texts begin, their lengths and 64-bit hashes of their bytes, eight at a time."""
+    blank = np.ones(len(texts) + 2, bool)
+    blank[1:-1] = _BLANK[np.frombuffer(texts, np.uint8)]
+    edges = np.flatnonzero(blank[1:] != blank[:-1])
+    starts, sizes = edges[::2], np.diff(edges)[::2]
+    eight = np.ndarray(len(texts), "<u8", texts + bytes(8), strides=(1,))
+    x, left, rest, at = sizes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), slice(None), sizes, 0
+    while len(rest):
+        part = eight[starts[left] + at] & (_ONES >> (np.uint64(8) * (8 - np.minimum(rest, 8)).astype(np.uint64)))
+        part ^= x[left]
+        part *= np.uint64(0xBF58476D1CE4E5B9)
+        part ^= part >> np.uint64(29)
+        part *= np.uint64(0x94D049BB133111EB)
+        part ^= part >> np.uint64(32)
+        x[left] = part
+        left, at = (left[rest > 8] if at else np.flatnonzero((sizes > 8) & (sizes <= LONG_WORD))), at + 8
+        rest = sizes[left] - at
+    for k in np.flatnonzero(sizes > LONG_WORD):
+        x[k] = xxhash.xxh3_64_intdigest(texts[starts[k] : starts[k] + sizes[k]])
+    return starts, sizes, x
+
+
+_ONES = np.uint64(2**64 - 1)
 
 
 @dataclass
@@ -81,12 +105,26 @@ class Words:
 
     @staticmethod
     def of(texts: list[str]) -> Words:
-        index, parts = _Index(), []
-        for text in texts:
-            found = text.encode().lower().split()
-            parts.append(np.fromiter(map(index.__getitem__, found), np.int32, len(found)))
-        lengths = np.fromiter(map(len, parts), np.int64, len(parts))
-        return Words(np.concatenate(parts) if parts else np.zeros(0, np.int32), lengths, list(index))
+        data = [text.encode().lower() for text in texts]
+        ends = np.cumsum([0, *[len(x) + 1 for x in data]])  # a blank parts them
+        found, sizes, hashes, low = [], [], [], 0
+        while low < len(data):
+            high = max(low + 1, int(np.searchsorted(ends, ends[low] + LOOK_BYTES, side="right")) - 1)
+            starts, size, x = _found(b" ".join(data[low:high]))
+            found.append(starts + ends[low])
+            sizes.append(size)
+            hashes.append(x)
+            low = high
+        starts, sizes, hashes = (np.concatenate([np.zeros(0, kind), *parts]) for parts, kind in ((found, np.int64), (sizes, np.int64), (hashes, np.uint64)))
+        numbers, own = pd.factorize(hashes)
+        del hashes, found
+        numbers, first = numbers.astype(np.int32), np.empty(len(own), np.int64)
+        first[numbers[::-1]] = np.arange(len(numbers))[::-1]
+        lengths = np.diff(np.searchsorted(starts, ends))
+        text = np.searchsorted(ends, starts[first], side="right") - 1
+        begin, size = starts[first] - ends[text], sizes[first]
+        distinct = [data[t][b : b + n] for t, b, n in zip(text.tolist(), begin.tolist(), size.tolist(), strict=True)]
+        return Words(numbers, lengths, distinct)
 
     def subwords(self, codec: Codec) -> tuple[np.ndarray, np.ndarray]:
         """Subword ids of the distinct words end to end, and where each word's begin (one more entry at the end).
@@ -158,40 +196,85 @@ class Model:
         """log10 probability of each text; ``ids`` holds the texts' subwords end to end, each text's end token last."""
         if not len(lengths):
             return np.zeros(0)
-        starts = np.cumsum(lengths) - lengths
-        inputs = np.empty(len(ids), np.int32)
-        inputs[1:] = self.symbol[ids[:-1]]
-        inputs[starts] = self.symbol[self.end]
-        count = -(-lengths // STRIDE)
-        text = np.repeat(np.arange(len(lengths)), count)
-        place = (np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)) * STRIDE
-        total = self.within[ids].astype(np.float64)
-        target = self.group[ids]
-        mask = _mask(self.bias)
-        reach = np.arange(-CONTEXT, STRIDE)
-        for at in range(0, len(text), STEP_WINDOWS):
-            here, low = text[at : at + STEP_WINDOWS], place[at : at + STEP_WINDOWS]
-            spot = low[:, None] + reach
-            inside = (spot >= 0) & (spot < lengths[here][:, None])
-            spot = np.where(inside, spot + starts[here][:, None], 0)
-            x = np.where(inside, inputs[spot], self.pad)
-            mine = x[:, CONTEXT:]
-            weight = np.matmul(self.query[mine], self.key[x].transpose(0, 2, 1))
+        starts, count = np.cumsum(lengths) - lengths, -(-lengths // STRIDE)
+        # Texts lie apart by places that weigh nothing, so that each window is a stretch.
+        room = CONTEXT + count * STRIDE
+        begins = np.cumsum(room) - room
+        spot = np.repeat(begins + CONTEXT - starts, lengths) + np.arange(len(ids))
+        inputs, target = np.full(room.sum(), self.pad, np.int32), np.zeros(room.sum(), np.int32)
+        inputs[spot[1:]] = self.symbol[ids[:-1]]
+        inputs[spot[starts]] = self.symbol[self.end]
+        target[spot] = self.group[ids]
+        window = np.repeat(begins, count) + (np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)) * STRIDE
+        places = np.concatenate([self.query, self.key, _ones_after(self.value)], axis=1)
+        places[self.pad, 2 * WIDTH :] = 0
+        mask, reach, classes = _mask(self.bias), np.arange(CONTEXT + STRIDE), _Classes(self.own, self.out)
+        found = np.zeros(len(inputs), np.float32)
+        for at in range(0, len(window), STEP_WINDOWS):
+            seen = window[at : at + STEP_WINDOWS, None] + reach
+            x = inputs[seen]
+            now = places.take(x, axis=0)
+            weight = now[:, CONTEXT:, :WIDTH] @ np.ascontiguousarray(now[..., WIDTH : 2 * WIDTH].transpose(0, 2, 1))
             weight += mask
             np.exp(weight, out=weight)
-            weight *= inside[:, None, :]
-            weight /= weight.sum(2, keepdims=True) + np.float32(1e-20)
-            context = np.matmul(weight, self.value[x])
-            chosen, scored = inside[:, CONTEXT:], spot[:, CONTEXT:]
-            # Products window by window, as in descent.
-            logits = np.matmul(context, self.out)
-            logits = logits.reshape(-1, logits.shape[2]) if chosen.all() else logits[chosen]
-            logits += self.own.take(mine[chosen], axis=0)
-            to = scored[chosen]
-            hit = logits[np.arange(len(to)), target[to]]
-            np.exp(logits, out=logits)
-            total[to] += (hit - np.log(logits.sum(1))) / np.log(10)
-        return np.add.reduceat(total, starts)
+            context = weight @ now[..., 2 * WIDTH :]
+            context[..., WIDTH:] += np.float32(1e-20)
+            scored = seen[:, CONTEXT:].ravel()
+            attended = context[..., :WIDTH].reshape(len(scored), WIDTH) / context[..., WIDTH:].reshape(-1, 1)
+            found[scored] = classes.log_odds(attended, x[:, CONTEXT:].ravel(), target[scored])
+        return np.add.reduceat(self.within[ids] + found[spot] / np.log(10), starts)
+
+
+#: Rows of class odds that are made at once: they stay in a core's cache, and products of so many the algebra library makes
+#: without threads, which would only wait in a task with one core.
+ROWS = 320
+
+
+def _ones_after(value: np.ndarray) -> np.ndarray:
+    """Values and a column of ones: weights times this give weighted values and, last, the sum of the weights."""
+    out = np.ones((*value.shape[:-1], value.shape[-1] + 1), value.dtype)
+    out[..., :-1] = value
+    return out
+
+
+class _Classes:
+    """Odds of the classes from symbols' preferences and attended values, some rows at once in the same memory."""
+
+    def __init__(self, own: np.ndarray, out: np.ndarray):
+        self.own = own - own.max(1, keepdims=True)
+        self.out, self.odds, self.ones = out, np.exp(self.own), np.ones(out.shape[1], out.dtype)
+        self.made, self.taken = (np.empty((ROWS, out.shape[1]), out.dtype) for _ in range(2))
+
+    def far(self, attended: np.ndarray) -> bool:
+        """Whether a product with these values can leave the range of exponents."""
+        return bool(np.abs(attended).max(initial=0) * np.abs(self.out).sum(0).max() > 60)
+
+    def rows(self, attended: np.ndarray, symbol: np.ndarray, far: bool) -> np.ndarray:
+        """Odds of the classes, row by row; the memory is used again by the next call."""
+        made, taken = self.made[: len(symbol)], self.taken[: len(symbol)]
+        np.matmul(attended, self.out, out=made)
+        if far:
+            np.clip(made, -60, 60, out=made)
+        np.exp(made, out=made)
+        self.odds.take(symbol, axis=0, out=taken, mode="clip")
+        made *= taken
+        return made
+
+    def log_odds(self, attended: np.ndarray, symbol: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Natural logarithm of each row's probability of its target class."""
+        hit, whole = (np.empty(len(symbol), self.out.dtype) for _ in range(2))
+        cell, far = _cells(target, len(self.ones)), self.far(attended)
+        for k in range(0, len(symbol), ROWS):
+            own = slice(k, k + ROWS)
+            made = self.rows(attended[own], symbol[own], far)
+            made.ravel().take(cell[own], out=hit[own], mode="clip")
+            np.matmul(made, self.ones, out=whole[own])
+        return np.log(hit / whole)
+
+
+def _cells(column: np.ndarray, width: int) -> np.ndarray:
+    """Places of each row's column in blocks of ``ROWS`` rows that lie end to end."""
+    return np.resize(np.arange(ROWS) * width, len(column)) + column
 
 
 def _mask(bias: np.ndarray) -> np.ndarray:
@@ -304,7 +387,7 @@ def learn(p: dict[str, np.ndarray], source: np.ndarray, target: np.ndarray, roun
 
     The windows lie side by side; the last one ends with the run, so every position is in one.
     """
-    span = CONTEXT + STRIDE
+    span, source, target = CONTEXT + STRIDE, source.astype(np.intp), target.astype(np.intp)
     if len(source) <= span:
         return 0
     starts = np.minimum(np.arange(0, len(source), span), len(source) - span)[round_::ROUNDS]
@@ -325,73 +408,100 @@ def _descend(p: dict[str, np.ndarray], source: np.ndarray, target: np.ndarray, s
 
 
 def _steps(p: dict[str, np.ndarray], source: np.ndarray, target: np.ndarray, span: int, batches: list[np.ndarray], rates: np.ndarray, moved: tuple[str, ...]) -> None:
-    """Adam on the cross-entropy of the windows that begin at each batch's places, with gradients through softmax attention."""
+    """Adam on the cross-entropy of the windows that begin at each batch's places, with gradients through softmax attention.
+
+    Of the symbols' tables a step moves the rows of the batch's symbols, and these rows' means only.
+    """
     kind = p["out"].dtype
     moves_own = "own" in moved
-    places, rest = np.concatenate([p[k] for k in PLACES], axis=1), {k: p[k] for k in moved if k not in PLACES}
-    w = p["query"].shape[1]
-    mine = {"places": places, **rest}
-    first = {k: np.zeros_like(v) for k, v in mine.items()}
-    second = {k: np.zeros_like(v) for k, v in mine.items()}
+    # Queries, keys, values and a column of ones: weights times the last two give weighted values and the weights' sum.
+    symbols, rest = {"places": _ones_after(np.concatenate([p[k] for k in PLACES], axis=1))}, {k: p[k] for k in moved if k not in (*PLACES, "own")}
+    if moves_own:
+        symbols["own"] = p["own"]
+    w, places = p["query"].shape[1], symbols["places"]
+    means = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in (symbols | rest).items()}
     distance = np.arange(span)[:, None] - np.arange(span)[None]
-    later = np.where(distance < 0, -1e9, 0).astype(kind)
+    later = np.where(distance < 0, -1e4, 0).astype(kind)
     far = np.maximum(distance, 0)
-    scale, reach, n, classes = kind.type(1 / np.sqrt(w)), np.arange(span), len(places), p["out"].shape[1]
-    odds = None if moves_own else np.exp(p["own"] - p["own"].max(1, keepdims=True))
+    scale, reach, width = kind.type(1 / np.sqrt(w)), np.arange(span), p["out"].shape[1]
+    classes = _Classes(p["own"], p["out"])
     for step, (begin, rate) in enumerate(zip(batches, rates, strict=True), 1):
-        at = begin[:, None] + reach
-        flat, y = source[at.ravel()], target[at.ravel()]
-        size, out = len(flat), p["out"]
-        now = places.take(flat, axis=0).reshape(len(begin), span, 3 * w)
-        q, k, v = now[..., :w] * scale, np.ascontiguousarray(now[..., w : 2 * w]), np.ascontiguousarray(now[..., 2 * w :])
-        a = q @ k.transpose(0, 2, 1)
+        at = (begin[:, None] + reach).ravel()
+        flat, y = source[at], target[at]
+        size = len(flat)
+        now = places.take(flat, axis=0).reshape(len(begin), span, 3 * w + 1)
+        q, k, v = now[..., :w], now[..., w : 2 * w], now[..., 2 * w :]
+        turned = [np.ascontiguousarray(x.transpose(0, 2, 1)) for x in (k, v)]  # products with these are faster
+        turned[0] *= scale
+        # Weights are not divided by their sums; what is made of them is.
+        a = q @ turned[0]
         a += p["bias"][far] + later
-        a -= a.max(2, keepdims=True)
+        if not (a[:, reach, reach].min() > -60 and a.max() < 60):
+            a -= a.max(2, keepdims=True)
         np.exp(a, out=a)
-        a /= a.sum(2, keepdims=True)
         h = a @ v
-        # Odds of the classes; their sum divides what is made of them, not each of them. Products go window by window: of larger
-        # ones the algebra library makes threads that only wait in a task with one core.
-        d = (h @ out).reshape(size, classes)
-        np.clip(d, -60, 60, out=d)
-        np.exp(d, out=d)
-        d *= (np.exp(p["own"] - p["own"].max(1, keepdims=True)) if moves_own else odds).take(flat, axis=0)
-        share = 1 / (d.sum(1) * kind.type(size))
-        odd = d.reshape(len(begin), span, classes)
-        dh = (odd @ out.T).reshape(size, w)
-        dh *= share[:, None]
-        dh -= out.T.take(y, axis=0) / kind.type(size)
-        dh = dh.reshape(len(begin), span, w)
-        hit = np.stack([np.bincount(y, h[..., j].ravel(), classes) for j in range(w)]) / size
-        grads = {"out": ((h * share.reshape(len(begin), span, 1)).transpose(0, 2, 1) @ odd).sum(0) - hit.astype(kind)}
-        da = dh @ v.transpose(0, 2, 1)
-        da -= (da * a).sum(2, keepdims=True)
+        whole = h[..., w:].reshape(size, 1)
+        h = h[..., :w].reshape(size, w) / whole
+        if moves_own:
+            classes = _Classes(p["own"], p["out"])
+        dh, share, grads = np.empty((size, w), kind), np.empty((size, 1), kind), {"out": np.zeros_like(p["out"])}
+        down = np.empty((size, width), kind) if moves_own else None
+        cell, extreme, outwards = _cells(y, width), classes.far(h), np.ascontiguousarray(p["out"].T)
+        for low in range(0, size, ROWS):
+            part = slice(low, low + ROWS)
+            d = classes.rows(h[part], flat[part], extreme)
+            total = d @ classes.ones
+            d.ravel()[cell[part]] -= total
+            total *= kind.type(size)
+            np.divide(1, total, out=share[part, 0])
+            np.matmul(d, outwards, out=dh[part])
+            grads["out"] += (h[part] * share[part]).T @ d
+            if moves_own:
+                np.multiply(d, share[part], out=down[part])
+        u = np.empty((size, w + 1), kind)
+        np.multiply(dh, share / whole, out=u[:, :w])
+        np.negative(np.vecdot(u[:, :w], h), out=u[:, w])
+        u = u.reshape(len(begin), span, w + 1)
+        da = u @ turned[1]
         da *= a
-        grads["bias"] = np.bincount(far.ravel(), weights=np.where(distance < 0, 0, da.sum(0)).ravel(), minlength=span).astype(kind)
-        now[..., :w], now[..., w : 2 * w], now[..., 2 * w :] = da @ k * scale, da.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dh
-        order = np.argsort(flat, kind="stable")
+        grads["bias"] = np.bincount(far.ravel(), weights=da.sum(0).ravel(), minlength=span).astype(kind)
+        da *= scale
+        back = np.empty_like(now)
+        np.matmul(da, k, out=back[..., :w])
+        np.matmul(da.transpose(0, 2, 1), q, out=back[..., w : 2 * w])
+        np.matmul(a.transpose(0, 2, 1), u, out=back[..., 2 * w :])
+        back[..., 3 * w] = 0
+        order = np.argsort(flat.astype(np.uint16), kind="stable")  # there are fewer symbols
         sorted_ = flat[order]
         cuts = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
-
-        def met(table: np.ndarray, cuts=cuts, order=order, sorted_=sorted_) -> np.ndarray:
-            total = np.zeros((n, table.shape[1]), kind)
-            total[sorted_[cuts]] = np.add.reduceat(table.take(order, axis=0), cuts, axis=0)
-            return total
-
-        grads["places"] = met(now.reshape(size, 3 * w))
-        if moves_own:
-            d *= share[:, None]
-            d[np.arange(size), y] -= kind.type(1 / size)
-            grads["own"] = met(d)
-        for name, table in mine.items():
-            g = grads[name]
-            first[name] += kind.type(0.1) * (g - first[name])
-            second[name] += kind.type(0.01) * (g * g - second[name])
-            table -= kind.type(rate / (1 - 0.9**step)) * first[name] / (np.sqrt(second[name] / kind.type(1 - 0.99**step)) + kind.type(1e-8))
+        touched = sorted_[cuts]
+        for name, rows in (("places", back.reshape(size, 3 * w + 1)), *([("own", down)] if moves_own else [])):
+            g = np.add.reduceat(rows.take(order, axis=0), cuts, axis=0)
+            first, second = (m.take(touched, axis=0) for m in means[name])
+            symbols[name][touched] -= _moved(g, first, second, step, rate)
+            means[name][0][touched], means[name][1][touched] = first, second
+        for name, table in rest.items():
+            table -= _moved(grads[name], *means[name], step, rate)
     for j, name in enumerate(PLACES):
         p[name][:] = places[:, j * w : (j + 1) * w]
 
 
+def _moved(g: np.ndarray, first: np.ndarray, second: np.ndarray, step: int, rate: float) -> np.ndarray:
+    """How far a step of Adam goes; the means of gradients and of their squares are brought up to date in place."""
+    kind = g.dtype.type
+    first *= kind(0.9)
+    first += kind(0.1) * g
+    second *= kind(0.99)
+    g *= g
+    g *= kind(0.01)
+    second += g
+    out = np.sqrt(second * kind(1 / (1 - 0.99**step)))
+    out += kind(1e-8)
+    np.divide(first, out, out=out)
+    out *= kind(rate / (1 - 0.9**step))
+    return out
+
+
 # ---------------------------------------------------------------- over the corpus
 
 
@@ -435,6 +545,15 @@ class Piece:
     def training(self) -> np.ndarray:
         return self.ids if self.train.all() else self.ids[np.repeat(self.train, self.lengths)]
 
+    def runs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Subwords and lengths of whole texts that hold about ``SCORED`` subwords together."""
+        ends, low = np.cumsum(self.lengths), 0
+        while low < len(ends):
+            begin = ends[low] - self.lengths[low]
+            high = max(low + 1, int(np.searchsorted(ends, begin + SCORED)))
+            yield self.ids[begin : ends[high - 1]], self.lengths[low:high]
+            low = high
+
 
 def _kind(end: int) -> type:
     """The type of stored subwords."""
@@ -444,10 +563,13 @@ def _kind(end: int) -> type:
 def _pieces(own: Words, ids: np.ndarray, starts: np.ndarray, end: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Texts ``low`` to ``high`` of each piece with their subwords, and how many each text has with its end."""
     sizes, ends = np.diff(starts), np.cumsum(own.lengths)
+    count = max(1, round(len(own.numbers) / PIECE_WORDS))
     low = 0
-    while low < len(own.lengths):
+    for k in range(1, count + 1):
+        high = len(ends) if k == count else int(np.searchsorted(ends, len(own.numbers) * k // count))
+        if high <= low:
+            continue
         begin = ends[low] - own.lengths[low]
-        high = max(low + 1, int(np.searchsorted(ends, begin + PIECE_WORDS)))
         numbers = own.numbers[begin : ends[high - 1]]
         long = sizes[numbers]
         flat = np.repeat(starts[numbers] - (np.cumsum(long) - long), long) + np.arange(long.sum())
@@ -470,11 +592,12 @@ def word_hashes(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
     if not len(starts):
         return np.zeros(0, np.uint64)
     place = np.arange(len(ids)) - np.repeat(starts, np.diff(np.append(starts, len(ids))))
-    x = (ids.astype(np.uint64) + np.uint64(1)) * _MIX[place % len(_MIX)]
+    long = place.max() >= len(_MIX) - 1
+    x = (ids.astype(np.uint64) + np.uint64(1)) * _MIX[place % len(_MIX) if long else place]
     x ^= x >> np.uint64(29)
     x *= np.uint64(0xBF58476D1CE4E5B9)
     x ^= x >> np.uint64(32)
-    x *= _MIX[(place + place // len(_MIX) + 1) % len(_MIX)] + (place // len(_MIX)).astype(np.uint64) * np.uint64(2)
+    x *= _MIX[(place + place // len(_MIX) + 1) % len(_MIX)] + (place // len(_MIX)).astype(np.uint64) * np.uint64(2) if long else _MIX[place + 1]
     x = np.add.reduceat(x, starts)
     x ^= x >> np.uint64(30)
     x *= np.uint64(0x94D049BB133111EB)
@@ -686,5 +809,6 @@ def _score_rows(row, known, model: Model, opens: np.ndarray, train_docs: int, re
     base = np.bincount(text, weights=np.log10(c + 1.0), minlength=size) + np.log10(train_docs + 1.0) - n * rest
     seen = np.bincount(text, weights=c > 0, minlength=size).astype(np.int64) + (train_docs > 0)
     # Half the prior goes to the corpus' word counts, half to the attention model: log10 of the mean of both probabilities.
-    score = np.logaddexp(base * np.log(10), model.score(own.ids, own.lengths) * np.log(10)) / np.log(10) - np.log10(2)
+    attended = np.concatenate([model.score(*part) for part in own.runs()])
+    score = np.logaddexp(base * np.log(10), attended * np.log(10)) / np.log(10) - np.log10(2)
     return pd.DataFrame({"doc_id": row.names, "train": own.train, "n_tokens": n, "n_known": seen, "base_score": base, "score": score, "n_subwords": own.lengths - 1})
