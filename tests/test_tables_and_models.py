@@ -77,3 +77,20 @@ def test_tournament_survives_a_failing_model(spark):
     assert found["random_forest", "pr_auc"] > 0.5 and ("boosted", "f1_score") in found
     served = md.score_output(result.scorers["random_forest"](data.test))
     assert set(served.columns) >= {"prediction", "probability", "risk_level"}
+
+
+def test_the_catalogue_tournament_runs_all_models_as_configured(monkeypatch):
+    from tradeflow.plans.catalog import models as catalogue
+
+    class Fitted:
+        score = None
+
+    seen = {}
+    monkeypatch.setattr(md.boosting, "fit", lambda train, features, target, settings, valid=None: seen.setdefault(train, settings) and Fitted)
+    monkeypatch.setattr(md, "fit_forest", lambda train, features, target, *given: seen.setdefault(train, given) and Fitted)
+    monkeypatch.setattr(md, "fit_isolation_forest", lambda train, features, trees: seen.setdefault(train, trees) and Fitted)
+    for name, trainer in catalogue.MODELS.items():
+        trainer(name, ["price"], "is_anomaly")
+    assert seen == {"boosted_a": md.BOOSTED_A, "boosted_b": md.BOOSTED_B, "random_forest": (500, 12, 5), "isolation_forest": 300}
+    a, b = seen["boosted_a"], seen["boosted_b"]
+    assert (a.rounds, a.step, a.depth, a.leaves, b.rounds, b.step, b.depth) == (1500, 0.01, 8, 63, 1200, 0.01, 8)
